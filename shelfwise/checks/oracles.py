@@ -154,7 +154,8 @@ changes AS (
 def daily(keys: str, source: str = "sales") -> str:
     return f"""daily AS (
   SELECT {keys}, date, CAST(SUM(quantity) AS BIGINT) AS quantity,
-         CAST(round(CAST(SUM(price) AS DOUBLE) / COUNT(price), 8) AS DECIMAL(38,8)) AS price
+         CAST(round(CAST(SUM(price) AS DOUBLE) / COUNT(price), 8) AS DECIMAL(38,8)) AS price,
+         CAST(SUM(price * quantity) AS DOUBLE) AS revenue
   FROM {source} GROUP BY ALL)"""
 
 
@@ -182,7 +183,7 @@ SELECT {keys}, CAST(date AS VARCHAR) AS date, quantity,
        round(coalesce(stddev_samp(quantity) {over(30)}, 0), 6) AS rolling_30d_std,
        CAST(price AS DOUBLE) AS price,
        coalesce({mean('price', 7)}, 0) AS avg_price_7d,
-       CAST(quantity * price AS DOUBLE) AS revenue
+       revenue
 FROM daily"""
 
 

@@ -646,8 +646,10 @@ def _group_daily(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _train(daily: DataFrame, names=tuple(forecasting.ESTIMATORS), **options) -> forecasting.TrainedModels:
+    keys = [*GROUP_SERIES, "date"]
     table = materialize(series.sales_features(daily, GROUP_SERIES), "features")
-    train, test = forecasting.split_rows(table, [*GROUP_SERIES, "date"])
+    train, test = forecasting.split_rows(table, keys)
+    train = materialize(forecasting.spread(train, keys), "train")
     return forecasting.train_models(train, test, names=names, **options)
 
 
@@ -660,13 +662,13 @@ def model_metrics(spark, root):
 @query
 def forecast(spark, root):
     daily = _group_daily(spark, root)
-    trained = _train(daily, ["random_forest", "linear_regression"])
+    trained = _train(daily, ["gradient_boosted", "linear_regression"])
     return plain(forecasting.forecast(trained, daily, GROUP_SERIES, 30))
 
 
 @query
 def feature_importance(spark, root):
-    trained = _train(_group_daily(spark, root), ["random_forest"])
+    trained = _train(_group_daily(spark, root), ["gradient_boosted"])
     return forecasting.feature_importance(spark, trained)
 
 

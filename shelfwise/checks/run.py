@@ -59,7 +59,7 @@ def compare(spark, connection, root: str, name: str) -> str | None:
 
 
 def main(root: str, names: list[str]) -> int:
-    spark = get_session("checks", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = get_session("checks", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(root)
     failures = 0

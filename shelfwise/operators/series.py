@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.calendar import calendar_columns
-from shelfwise.functions.measures import fixed_mean, ratio
+from shelfwise.functions.measures import fixed_mean, ratio, revenue
 
 FEATURE_COLUMNS = (
     "day_of_week", "day_of_month", "month", "quarter", "year", "is_weekend",
@@ -22,7 +22,7 @@ SERIES = ("product_id", "county")
 
 
 def daily_series(sales: DataFrame, keys: Sequence[str] = SERIES, date: str = "date") -> DataFrame:
-    """One row per series and day: total quantity and mean price.
+    """One row per series and day: total quantity, mean price and revenue.
 
     The sums are built before the shuffle, and afterwards a series has no more rows than
     there are days, whatever its share of the sales. That bounds every window below.
@@ -30,6 +30,7 @@ def daily_series(sales: DataFrame, keys: Sequence[str] = SERIES, date: str = "da
     return sales.groupBy(*keys, date).agg(
         F.sum("quantity").alias("quantity"),
         fixed_mean(F.sum("price"), F.count("price")).alias("price"),
+        F.sum(revenue()).alias("revenue"),
     )
 
 
@@ -68,9 +69,9 @@ def moving_deviations(
 def sales_features(
     daily: DataFrame, keys: Sequence[str] = SERIES, date: str = "date", by_days: bool = False
 ) -> DataFrame:
-    """The daily rows with calendar, lag and moving columns and the day's revenue.
+    """The daily rows with calendar, lag and moving columns.
 
-    Missing lags and deviations become 0. All windows share one partitioning and order, so
+    Rows without a revenue get quantity times price. Missing lags and deviations become 0. All windows share one partitioning and order, so
     they take one shuffle and one sort. ``by_days`` counts the moving frames in calendar
     days instead of rows.
     """
@@ -81,12 +82,13 @@ def sales_features(
         **moving_means("price", keys, date, {"avg_price_7d": 7}, by_days),
     }
     day = F.col(date).cast("date")
-    others = [c for c in daily.columns if c not in (date, "price")]
+    others = [c for c in daily.columns if c not in (date, "price", "revenue")]
+    earned = F.col("revenue") if "revenue" in daily.columns else revenue()
     return daily.withColumn(date, day).select(
         *others,
         date,
         *[column.alias(name) for name, column in calendar_columns(F.col(date)).items()],
         *[F.coalesce(column, F.lit(0)).alias(name) for name, column in windows.items()],
         F.col("price").cast("double").alias("price"),
-        (F.col("quantity") * F.col("price")).cast("double").alias("revenue"),
+        earned.cast("double").alias("revenue"),
     )

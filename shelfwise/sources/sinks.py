@@ -15,6 +15,7 @@ CURATED_LAYOUT = {
     "comprehensive_view": ("county",),
 }
 REFINED_LAYOUT = ("date", "county")
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 # Sketched layouts for larger tables: partition columns, bucket columns, bucket count.
 BUCKETED_LAYOUTS = {
@@ -117,8 +118,13 @@ def insert_partitions(
     """Insert with dynamic partitions; ``overwrite`` replaces just the partitions that ``df`` has."""
     ordered = [c for c in df.columns if c not in partition_cols] + list(partition_cols)
     rows = gather(df.select(*ordered), partition_cols)
-    writer = rows.write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name, overwrite=overwrite)
+    conf = df.sparkSession.conf
+    mode = conf.get(OVERWRITE_MODE)
+    conf.set(OVERWRITE_MODE, "dynamic")  # a catalog table takes this from the session alone
+    try:
+        rows.write.insertInto(name, overwrite=overwrite)
+    finally:
+        conf.set(OVERWRITE_MODE, mode)
 
 
 def create_table_as(
