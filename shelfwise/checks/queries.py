@@ -141,10 +141,10 @@ def curated_write(spark, root):
 
 @query
 def compacted_write(spark, root):
-    """Sales written as many small files, compacted, and read back."""
-    small, compacted = scratch_path(spark, "small-files"), scratch_path(spark, "compacted")
-    star.sales(spark, root).write.option("maxRecordsPerFile", 2000).parquet(small)
-    sinks.compact(spark, small, compacted)
+    """Sales by county as each task wrote them, compacted, and read back."""
+    scattered, compacted = scratch_path(spark, "scattered"), scratch_path(spark, "compacted")
+    star.sales(spark, root).write.partitionBy("county").parquet(scattered)
+    sinks.compact(spark, scattered, compacted, ["county"])
     return plain(insights.county_sales(readers.read_layer(spark, compacted)))
 
 

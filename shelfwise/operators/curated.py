@@ -2,8 +2,8 @@
 
 All of them are finished from the same additive sums. So one pass over the sales, at the
 grain of county and product, serves every curated table, and products are joined to
-the sums rather than to the sales: the join then moves one row per county and product,
-and a product that has a third of all sales is a single row of it.
+the sums rather than to the sales: a product that has a third of all sales is then one
+row per county in that join.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwise.functions.measures import ratio, revenue
+from shelfwise.functions.measures import UNITS, ratio, revenue_units, with_price_units
 from shelfwise.operators.joins import join_products
 
 BY_PRODUCT = ("product_id", "product_name", "category")
@@ -20,20 +20,24 @@ BY_COUNTY_PRODUCT = ("county", "product_id", "product_name", "category")
 BY_ALL = ("county", "category", "product_id", "product_name")
 
 ADDED = ("revenue_sum", "revenue_n", "quantity_sum", "price_sum", "price_n", "row_n", "product_n")
+PRICED = ("revenue_sum", "price_sum", "price_max", "price_min")
+COPIES = "_copies"
 
 
-def sales_sums(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Additive sums of price, quantity and revenue by ``keys``."""
+def _unit_sums(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Additive sums by ``keys`` of sales with price units."""
+    priced = F.col(UNITS).isNotNull()
+    sold = F.col("quantity").isNotNull()
     return sales.groupBy(*keys).agg(
-        F.sum(revenue()).alias("revenue_sum"),
-        F.count(revenue()).alias("revenue_n"),
+        F.sum(revenue_units()).alias("revenue_sum"),
+        F.count_if(priced & sold).alias("revenue_n"),
         F.sum("quantity").alias("quantity_sum"),
-        F.sum("price").alias("price_sum"),
-        F.count("price").alias("price_n"),
+        F.sum(UNITS).alias("price_sum"),
+        F.count(UNITS).alias("price_n"),
         F.count(F.lit(1)).alias("row_n"),
         F.count("product_id").alias("product_n"),
-        F.max("price").alias("price_max"),
-        F.min("price").alias("price_min"),
+        F.max(UNITS).alias("price_max"),
+        F.min(UNITS).alias("price_min"),
     )
 
 
@@ -46,15 +50,35 @@ def roll_up(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _attach_products(sums: DataFrame, products: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Sums by product with product columns; a product listed n times counts n times.
+
+    The copies are counted on the product side, so the sums, which are the larger side by
+    far, need no second aggregation.
+    """
+    listed = products.groupBy(F.col("product_id").cast("string").alias("product_id"), *columns).agg(
+        F.count(F.lit(1)).alias(COPIES)
+    )
+    joined = join_products(sums, listed)
+    copies = F.coalesce(COPIES, F.lit(1))
+    return joined.withColumns({name: F.col(name) * copies for name in ADDED}).drop(COPIES)
+
+
 def sums_with_products(sales: DataFrame, products: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Sums by ``keys``, some of which may be product columns that ``products`` has.
 
     Without ``products`` the sales carry those columns themselves, as the refined layer does.
     """
+    sales, back = with_price_units(sales)
     if products is None:
-        return sales_sums(sales, keys)
-    base = [k for k in keys if k in sales.columns and k != "product_id"] + ["product_id"]
-    return roll_up(join_products(sales_sums(sales, base), products), keys)
+        sums = _unit_sums(sales, keys)
+    else:
+        base = [k for k in keys if k in sales.columns and k != "product_id"] + ["product_id"]
+        columns = [k for k in keys if k not in base]
+        sums = _attach_products(_unit_sums(sales, base), products, columns)
+        if "product_id" not in keys:
+            sums = roll_up(sums, keys)
+    return sums.withColumns({name: back(F.col(name)) for name in PRICED})
 
 
 def _total(money: str | None) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.calendar import calendar_columns
-from shelfwise.functions.measures import fixed_mean, ratio, revenue
+from shelfwise.functions.measures import UNITS, fixed_mean, ratio, revenue, revenue_units, with_price_units
 
 FEATURE_COLUMNS = (
     "day_of_week", "day_of_month", "month", "quarter", "year", "is_weekend",
@@ -27,10 +27,19 @@ def daily_series(sales: DataFrame, keys: Sequence[str] = SERIES, date: str = "da
     The sums are built before the shuffle, and afterwards a series has no more rows than
     there are days, whatever its share of the sales. That bounds every window below.
     """
-    return sales.groupBy(*keys, date).agg(
+    sales, back = with_price_units(sales)
+    sums = sales.groupBy(*keys, date).agg(
         F.sum("quantity").alias("quantity"),
-        fixed_mean(F.sum("price"), F.count("price")).alias("price"),
-        F.sum(revenue()).alias("revenue"),
+        F.sum(UNITS).alias("price"),
+        F.count(UNITS).alias("priced"),
+        F.sum(revenue_units()).alias("revenue"),
+    )
+    return sums.select(
+        *keys,
+        date,
+        "quantity",
+        fixed_mean(back(F.col("price")), F.col("priced")).alias("price"),
+        back(F.col("revenue")).alias("revenue"),
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions.calendar import as_day, within_last_months
-from shelfwise.functions.measures import mean_of_means, percentage, revenue
+from shelfwise.functions.measures import mean_of_means, percentage, revenue_units, with_price_units
 from shelfwise.operators.joins import join_known_products
 from shelfwise.operators.quality import quality_issues  # noqa: F401  (the thirteenth report)
 from shelfwise.operators.ranking import number_within, top_rows
@@ -139,11 +139,11 @@ def market_penetration(view: DataFrame) -> DataFrame:
 
 def monthly_revenue(sales: DataFrame, months: int = 6, as_of=None) -> DataFrame:
     """Revenue and units by month and county over the last ``months`` months before ``as_of``."""
+    recent, back = with_price_units(sales.filter(within_last_months(F.col("date"), months, as_of)))
     return (
-        sales.filter(within_last_months(F.col("date"), months, as_of))
-        .groupBy(F.trunc("date", "MM").alias("month"), "county")
+        recent.groupBy(F.trunc("date", "MM").alias("month"), "county")
         .agg(
-            F.sum(revenue()).cast("double").alias("monthly_revenue"),
+            back(F.sum(revenue_units())).cast("double").alias("monthly_revenue"),
             F.sum("quantity").alias("monthly_quantity"),
         )
         .orderBy(F.desc("month"), F.desc("monthly_revenue"))
@@ -161,9 +161,11 @@ def county_drill_down(view: DataFrame, county: str, n: int = 100) -> DataFrame:
 
 def county_sales(sales: DataFrame) -> DataFrame:
     """Number of sales and revenue by county."""
+    sales, back = with_price_units(sales)
+    total = back(F.sum(revenue_units())).cast("double")
     return (
         sales.groupBy("county")
-        .agg(F.count(F.lit(1)).alias("sales_count"), F.sum(revenue()).cast("double").alias("total_revenue"))
+        .agg(F.count(F.lit(1)).alias("sales_count"), total.alias("total_revenue"))
         .orderBy(F.desc("total_revenue"))
     )
 
