@@ -53,7 +53,7 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 def read_audit(
     spark: SparkSession, path: str, days: int | None = None, as_of=None, whole_files: bool = False
 ) -> DataFrame:
-    """Audit records of the last ``days`` days before ``as_of``; unreadable ones are left out.
+    """Audit records of the last ``days`` days before ``as_of``; those unreadable or undated are left out.
 
     ``whole_files`` reads files that hold one indented document each; the default is
     one record a line, which splits across tasks.
@@ -65,7 +65,7 @@ def read_audit(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", whole_files)
         .json(path)
-        .filter(F.col(CORRUPT).isNull())
+        .filter(F.col(CORRUPT).isNull() & F.col("timestamp").isNotNull())
         .drop(CORRUPT)
     )
     return records if days is None else recent_records(records, days, as_of)
