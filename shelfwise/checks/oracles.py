@@ -259,7 +259,10 @@ ORACLES: dict[str, str] = {
         CASE WHEN county = '{COUNTY}' THEN quantity + 1 ELSE quantity END AS quantity FROM sales)
         {COUNTY_SALES.format('loaded')}""",
     "table_as_query": f"WITH {SALES} {BY_COUNTY}",
-    "bucketed_join": f"WITH {SALES} {BY_CATEGORY}",
+    "bucketed_join": f"""WITH {SALES}, days AS (SELECT product_id, category, date,
+        SUM(price * quantity) AS revenue, SUM(quantity) AS quantity FROM refined GROUP BY ALL)
+        SELECT category, CAST(SUM(revenue) AS DOUBLE) AS total_revenue,
+        CAST(SUM(quantity) AS BIGINT) AS total_quantity, COUNT(*) AS product_days FROM days GROUP BY category""",
     "clean_sales": f"""WITH {RAW} SELECT * FROM (SELECT product_id, CAST(TRY_CAST(date AS DATE) AS VARCHAR) AS date,
         county, TRY_CAST(coalesce(quantity, '0') AS INTEGER) AS quantity,
         CAST(TRY_CAST(coalesce(price, '0.0') AS FLOAT) AS DOUBLE) AS price, l_orderkey, l_linenumber FROM raw_sales)

@@ -62,6 +62,11 @@ def _by_county(spark: SparkSession, root: str) -> DataFrame:
     return curated.sales_by_county(star.sales(spark, root), ordered=False, money=None)
 
 
+def _last_day(spark: SparkSession, root: str):
+    """The last sale day: a scan of one column."""
+    return latest_day(star.sales(spark, root, county=False))
+
+
 def _table_name() -> str:
     return f"shelfwise_{uuid.uuid4().hex}"
 
@@ -181,17 +186,23 @@ def table_as_query(spark, root):
 
 @query
 def bucketed_join(spark, root):
-    """Sales and products bucketed by product: their join moves no rows."""
-    sales, products = _table_name(), _table_name()
+    """Daily sums and products bucketed by product: their join moves no rows.
+
+    Daily sums and not single sales, so that the bucket of a much-sold product stays small.
+    """
+    daily, products = _table_name(), _table_name()
     buckets = 8
-    sinks.write_bucketed(
-        star.sales(spark, root), sales, [], ["product_id"], buckets, scratch_path(spark, "bucketed-sales")
-    )
+    sums = series.daily_series(star.sales(spark, root, county=False), ["product_id"])
+    sinks.write_bucketed(sums, daily, [], ["product_id"], buckets, scratch_path(spark, "bucketed-sales"))
     sinks.write_bucketed(
         star.products(spark, root), products, [], ["product_id"], buckets, scratch_path(spark, "bucketed-products")
     )
-    joined = joins.join_products(readers.read_table(spark, sales), readers.read_table(spark, products))
-    return plain(curated.sales_by_category(joined, ordered=False))
+    joined = joins.join_products(readers.read_table(spark, daily), readers.read_table(spark, products))
+    return joined.groupBy("category").agg(
+        F.sum("revenue").cast("double").alias("total_revenue"),
+        F.sum("quantity").alias("total_quantity"),
+        F.count(F.lit(1)).alias("product_days"),
+    )
 
 
 # cleaning, projections and filters
@@ -277,7 +288,7 @@ def inner_join_filter(spark, root):
 @query
 def join_three_keys(spark, root):
     """Yesterday's quantity as the forecast, joined with the actual quantity and measured."""
-    daily = series.daily_series(star.sales(spark, root))
+    daily = materialize(series.daily_series(star.sales(spark, root)), "daily")
     keys = series.SERIES
     lagged = series.lag_columns("quantity", keys, "date", {"forecast_quantity": 1})
     naive = daily.select("date", *keys, *[c.cast("double").alias(n) for n, c in lagged.items()])
@@ -287,8 +298,7 @@ def join_three_keys(spark, root):
 
 @query
 def future_days(spark, root):
-    sales = star.sales(spark, root)
-    return plain(joins.future_days(sales, ["county"], 7))
+    return plain(joins.future_days(star.sales(spark, root), ["county"], 7, last_day=_last_day(spark, root)))
 
 
 @query
@@ -453,8 +463,7 @@ def insight_10(spark, root):
 
 @query
 def insight_11(spark, root):
-    sales = star.sales(spark, root)
-    return plain(insights.monthly_revenue(sales, as_of=latest_day(star.sales(spark, root, county=False))))
+    return plain(insights.monthly_revenue(star.sales(spark, root), as_of=_last_day(spark, root)))
 
 
 @query
@@ -638,7 +647,7 @@ def hash_split(spark, root):
 @query
 def forecast_frame(spark, root):
     daily = series.daily_series(star.sales(spark, root))
-    return plain(forecasting.forecast_frame(daily, days=3))
+    return plain(forecasting.forecast_frame(daily, days=3, last_day=_last_day(spark, root)))
 
 
 def _group_daily(spark: SparkSession, root: str) -> DataFrame:
@@ -686,7 +695,7 @@ def forecast_accuracy(spark, root):
 @query
 def demand_trend(spark, root):
     daily = series.daily_series(star.sales(spark, root), ["county"])
-    trends = demand.forecast_trends(daily, 30)
+    trends = demand.forecast_trends(daily, 30, last_day=_last_day(spark, root))
     return plain(trends.withColumn("prediction", F.round("prediction", 6)))
 
 
@@ -694,7 +703,7 @@ def demand_trend(spark, root):
 def inventory(spark, root):
     """Stock levels from the daily demand forecast of each county."""
     daily = series.daily_series(star.sales(spark, root), ["county"])
-    levels = demand.stock_levels(demand.forecast_trends(daily, 30))
+    levels = demand.stock_levels(demand.forecast_trends(daily, 30, last_day=_last_day(spark, root)))
     return levels.select("county", *[F.round(c, 5).alias(c) for c in levels.columns if c != "county"])
 
 

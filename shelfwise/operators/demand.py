@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions.calendar import latest_day
 from shelfwise.functions.measures import mean, ratio
@@ -41,10 +41,11 @@ def fit_trends(daily: DataFrame, keys: Sequence[str] = ("county",), date: str =
 
 
 def forecast_trends(daily: DataFrame, days: int = 30, keys: Sequence[str] = ("county",), date: str = "date",
-                    value: str = "quantity") -> DataFrame:
-    """Each group's line over the ``days`` days after the last date of the table."""
+                    value: str = "quantity", last_day: Column | None = None) -> DataFrame:
+    """Each group's line over the ``days`` days after ``last_day``, by default that of the table."""
     trends = fit_trends(daily, keys, date, value)
-    future = trends.withColumn(date, explode_days(latest_day(daily, date), days))
+    last_day = latest_day(daily, date) if last_day is None else last_day
+    future = trends.withColumn(date, explode_days(last_day, days))
     prediction = F.col("intercept") + F.col("slope") * F.unix_date(date)
     return future.select(*keys, date, prediction.alias("prediction"))
 

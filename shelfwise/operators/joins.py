@@ -46,26 +46,32 @@ def latest_per_series(
     values: Sequence[str],
     date: str = "date",
     before: Column | None = None,
-    tie_break: Sequence[str] = (),
+    tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     """The last row of each series, strictly before a date if one is given.
 
-    One aggregation with map-side combine: no series is sorted or held in one task. Rows
-    of the same date are ordered by ``tie_break``, then by the values.
+    One hash aggregation with map-side combine: no series is sorted or held in one task.
+    Without ``tie_break`` a series must have one row per date, as a daily series has; with it
+    rows of one date are ordered by these columns, then by the values.
     """
     if before is not None:
         df = df.filter(F.col(date) < before)
-    order = F.struct(date, *tie_break, *values)
-    last = df.groupBy(*keys).agg(F.max(order).alias("last"))
+    if tie_break is None:
+        return df.groupBy(*keys).agg(
+            F.max(date).alias(date), *[F.max_by(v, date).alias(v) for v in values]
+        )
+    last = df.groupBy(*keys).agg(F.max(F.struct(date, *tie_break, *values)).alias("last"))
     return last.select(*keys, F.col(f"last.{date}").alias(date), *[F.col(f"last.{v}").alias(v) for v in values])
 
 
-def future_days(df: DataFrame, keys: Sequence[str], days: int, date: str = "date") -> DataFrame:
-    """Each series once for each of the ``days`` days after the last date of the whole table."""
-    series = df.select(*keys).distinct()
-    return series.withColumn(date, explode_days(latest_day(df, date), days))
+def future_days(
+    df: DataFrame, keys: Sequence[str], days: int, date: str = "date", last_day: Column | None = None
+) -> DataFrame:
+    """Each series once for each of the ``days`` days after ``last_day``, by default that of the table."""
+    last_day = latest_day(df, date) if last_day is None else last_day
+    return df.select(*keys).distinct().withColumn(date, explode_days(last_day, days))
 
 
 def explode_days(last: Column, days: int) -> Column:
     """The ``days`` days after ``last``, one row each."""
-    return F.explode(F.sequence(F.date_add(last, 1), F.date_add(last, days)))
+    return F.explode(F.transform(F.sequence(F.lit(1), F.lit(days)), lambda i: F.date_add(last, i)))

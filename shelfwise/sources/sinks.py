@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -56,11 +57,15 @@ def write_refined(df: DataFrame, path: str, partition_cols: Sequence[str] = REFI
 
 
 def write_curated(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
-    """Write the curated datasets below ``root``; gives the path of each."""
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{root}/{name}"
-        write_layer(df, paths[name], CURATED_LAYOUT[name])
+    """Write the curated datasets below ``root``; gives the path of each.
+
+    The writes are submitted together: most are too small to fill a cluster alone.
+    """
+    paths = {name: f"{root}/{name}" for name in tables}
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        writes = [pool.submit(write_layer, df, paths[name], CURATED_LAYOUT[name]) for name, df in tables.items()]
+        for write in writes:
+            write.result()
     return paths
 
 

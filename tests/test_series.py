@@ -74,7 +74,9 @@ def test_latest_before(history):
     daily = series.daily_series(history)
     last = joins.latest_per_series(daily, series.SERIES, ["quantity"], before=F.lit("2023-01-07").cast("date"))
     assert rows(last) == [("p", "x", datetime.date(2023, 1, 6), 6), ("q", "y", datetime.date(2023, 1, 6), 4)]
-    assert "Window" not in plan(last)
+    assert "Window" not in plan(last) and "SortAggregate" not in plan(last)
+    raw = joins.latest_per_series(history, ["product_id"], ["quantity"], tie_break=["price"])
+    assert rows(raw.select("product_id", "quantity")) == [("p", 0), ("q", 38)]
 
 
 def test_future_days(history):
@@ -134,6 +136,12 @@ def test_indexed_categories_accept_unseen_values(history):
     assert trained.feature_columns[-2:] == ("county_indexed", "product_id_indexed")
 
 
+def test_too_many_values_to_index(history, monkeypatch):
+    monkeypatch.setattr(forecasting, "MAX_INDEXED_VALUES", 1)
+    with pytest.raises(ValueError, match="too many values"):
+        forecasting.train_models(history, history, index_categories=True)
+
+
 def test_untrained(history):
     with pytest.raises(ValueError):
         forecasting.forecast(forecasting.TrainedModels(), series.daily_series(history))
