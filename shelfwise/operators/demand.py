@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions.calendar import latest_day
 from shelfwise.functions.measures import mean, ratio
-from shelfwise.operators.joins import explode_days
+from shelfwise.operators.joins import with_future_days
 
 Z_95_PERCENT = 1.65
 EXACT = "decimal(38,0)"
@@ -45,7 +45,7 @@ def forecast_trends(daily: DataFrame, days: int = 30, keys: Sequence[str] = ("co
     """Each group's line over the ``days`` days after ``last_day``, by default that of the table."""
     trends = fit_trends(daily, keys, date, value)
     last_day = latest_day(daily, date) if last_day is None else last_day
-    future = trends.withColumn(date, explode_days(last_day, days))
+    future = with_future_days(trends, last_day, days, date)
     prediction = F.col("intercept") + F.col("slope") * F.unix_date(date)
     return future.select(*keys, date, prediction.alias("prediction"))
 

@@ -69,9 +69,10 @@ def future_days(
 ) -> DataFrame:
     """Each series once for each of the ``days`` days after ``last_day``, by default that of the table."""
     last_day = latest_day(df, date) if last_day is None else last_day
-    return df.select(*keys).distinct().withColumn(date, explode_days(last_day, days))
+    return with_future_days(df.select(*keys).distinct(), last_day, days, date)
 
 
-def explode_days(last: Column, days: int) -> Column:
-    """The ``days`` days after ``last``, one row each."""
-    return F.explode(F.transform(F.sequence(F.lit(1), F.lit(days)), lambda i: F.date_add(last, i)))
+def with_future_days(df: DataFrame, last: Column, days: int, date: str = "date") -> DataFrame:
+    """Each row once for each of the ``days`` days after ``last``."""
+    ahead = df.withColumn("_ahead", F.explode(F.sequence(F.lit(1), F.lit(days))))
+    return ahead.withColumn(date, F.date_add(last, F.col("_ahead"))).drop("_ahead")
