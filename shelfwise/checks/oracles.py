@@ -229,10 +229,13 @@ FROM levels"""
 
 
 WINDOWS = """
-parsed AS (SELECT ts, event_type AS county, CAST(round(value, 2) AS DECIMAL(18,2)) AS amount,
-                  CAST(floor(epoch(date_trunc('millisecond', ts)) / 300) AS BIGINT) * 300 AS window_start FROM events),
-windows AS (SELECT window_start, window_start + 300 AS window_end, county, COUNT(*) AS transaction_count,
-                   CAST(SUM(amount) AS DOUBLE) AS total_sales FROM parsed GROUP BY ALL)"""
+parsed AS (SELECT event_type AS county, CAST(round(value, 2) AS DECIMAL(18,2)) AS amount,
+                  time_bucket(INTERVAL 5 MINUTE, date_trunc('millisecond', ts)) AS window_start FROM events),
+windows AS (SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, county,
+                   COUNT(*) AS transaction_count, CAST(SUM(amount) AS DOUBLE) AS total_sales
+            FROM parsed GROUP BY ALL),
+shown AS (SELECT CAST(window_start AS VARCHAR) AS window_start, CAST(window_end AS VARCHAR) AS window_end, county,
+                 transaction_count, total_sales FROM windows"""
 
 
 ORACLES: dict[str, str] = {
@@ -436,8 +439,9 @@ ORACLES: dict[str, str] = {
         CAST((SELECT max(date) FROM p) - max(date) AS INTEGER) AS recency FROM p GROUP BY customer_id""",
     "parse_json_events": """SELECT event_type AS county, COUNT(ts) AS event_count,
         CAST(SUM(CAST(round(value, 2) AS DECIMAL(18,2))) AS DOUBLE) AS total_amount FROM events GROUP BY event_type""",
-    "tumbling_window_batch": f"WITH {WINDOWS} SELECT * FROM windows",
-    "stream_window": f"""WITH {WINDOWS} SELECT * FROM windows
-        WHERE window_end <= (SELECT max(epoch(date_trunc('millisecond', ts))) - 3600 FROM events)""",
+    "tumbling_window_batch": f"WITH {WINDOWS}) SELECT * FROM shown",
+    "stream_window": f"""WITH {WINDOWS}
+        WHERE window_end <= (SELECT max(date_trunc('millisecond', ts)) - INTERVAL 1 HOUR FROM events))
+        SELECT * FROM shown""",
     "encrypt_round_trip": """SELECT c_custkey, c_name, c_acctbal, true AS was_hidden FROM customer""",
 }

@@ -746,11 +746,10 @@ def _sale_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _utc_windows(df: DataFrame) -> DataFrame:
-    """Window bounds as seconds since the epoch, free of any time zone."""
+def _plain_windows(df: DataFrame) -> DataFrame:
+    """Window bounds as text in the session's time zone, as the event times were read."""
     return df.select(
-        F.unix_timestamp("window_start").alias("window_start"),
-        F.unix_timestamp("window_end").alias("window_end"),
+        *[F.col(c).cast("timestamp_ntz").cast("string").alias(c) for c in ("window_start", "window_end")],
         "county",
         "transaction_count",
         F.col("total_sales").cast("double").alias("total_sales"),
@@ -768,7 +767,7 @@ def parse_json_events(spark, root):
 @query
 def tumbling_window_batch(spark, root):
     events = windows.parse_events(_sale_events(star.table(spark, root, "events")))
-    return _utc_windows(windows.windowed_sales(events))
+    return _plain_windows(windows.windowed_sales(events))
 
 
 @query
@@ -781,7 +780,7 @@ def stream_window(spark, root):
     aggregated = windows.windowed_sales(parsed)
     running = windows.write_windows(aggregated, out, state, available_now=True)
     running.awaitTermination()
-    return _utc_windows(spark.read.schema(aggregated.schema).parquet(out))
+    return _plain_windows(spark.read.schema(aggregated.schema).parquet(out))
 
 
 # protection
