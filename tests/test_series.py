@@ -6,6 +6,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from shelfwise import jobs
 from shelfwise.functions.calendar import latest_day
 from shelfwise.operators import demand, joins, series
 from shelfwise.plans import forecasting
@@ -127,6 +128,14 @@ def test_models(spark, history):
     assert again.metrics["random_forest"] == trained.metrics["random_forest"]
 
 
+def test_forecast_job(spark, history, tmp_path):
+    history.write.parquet(str(tmp_path / "refined"))
+    trained = jobs.run_forecast(spark, str(tmp_path / "refined"), str(tmp_path / "out"), days=2)
+    assert set(trained.models) == set(forecasting.ESTIMATORS) and not trained.failed
+    assert spark.read.parquet(str(tmp_path / "out" / "forecasts")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "out" / "metrics")).filter("is_best").count() == 1
+
+
 def test_indexed_categories_accept_unseen_values(history):
     table = series.sales_features(series.daily_series(history))
     trained = forecasting.train_models(

@@ -6,7 +6,7 @@ import pytest
 from conftest import PRODUCT_ROWS, SALES_ROWS, plan, rows
 from pyspark.sql import functions as F
 
-from shelfwise import schemas, session
+from shelfwise import jobs, schemas, session
 from shelfwise.operators import curated
 from shelfwise.plans import curate, insights, insights_sql, refine
 from shelfwise.sources import readers, sinks
@@ -73,6 +73,16 @@ def test_refine_and_curate_jobs(spark, tmp_path):
     assert checks.overall_status == "PASSED"
 
 
+def test_job_command_line(spark, tmp_path, capsys):
+    write_raw(tmp_path / "raw")
+    raw, refined, curated_root = (str(tmp_path / n) for n in ("raw", "refined", "curated"))
+    jobs.main(["refine", "--raw", raw, "--refined", refined, "--price-type", "decimal(12,2)"])
+    jobs.main(["curate", "--refined", refined, "--curated", curated_root])
+    printed = capsys.readouterr().out
+    assert "min_rows_check: FAILED (5)" in printed and "no_negative_prices_check: PASSED (0)" in printed
+    assert readers.read_layer(spark, f"{curated_root}/sales_by_county").count() == 3
+
+
 def test_failed_checks_warn_unless_strict(spark, tmp_path):
     write_raw(tmp_path / "raw")
     target = tmp_path / "refined"
