@@ -40,9 +40,9 @@ raw_sales AS (
   FROM sales
 ),
 raw_products AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+  SELECT CASE WHEN p_partkey % 10 = 0 THEN 'old-' ELSE '' END || CAST(p_partkey AS VARCHAR) AS product_id,
          CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE p_name END AS product_name, p_type AS category
-  FROM part WHERE p_partkey % 10 <> 0
+  FROM part
 ),
 cleaned AS (
   SELECT * FROM (
@@ -116,9 +116,11 @@ FROM {} GROUP BY county"""
 
 
 def issues(view: str) -> str:
-    return f"""SELECT 'Negative revenue' AS issue_type, COUNT(*) AS issue_count FROM {view} WHERE total_revenue < 0
-UNION ALL SELECT 'Zero quantity', COUNT(*) FROM {view} WHERE total_quantity = 0
-UNION ALL SELECT 'Null product names', COUNT(*) FROM {view} WHERE product_name IS NULL OR product_name = ''"""
+    return f"""SELECT issue_type, issue_count FROM (
+  SELECT COUNT(*) FILTER (total_revenue < 0) AS negative, COUNT(*) FILTER (total_quantity = 0) AS zero,
+         COUNT(*) FILTER (coalesce(product_name, '') = '') AS nameless FROM {view}) t,
+  LATERAL (VALUES ('Negative revenue', negative), ('Zero quantity', zero), ('Null product names', nameless))
+    AS v(issue_type, issue_count)"""
 
 
 CHECKS = f"""WITH {RAW},

@@ -494,7 +494,7 @@ def insight_16(spark, root):
 
 def _sql_report(spark: SparkSession, root: str, text: str) -> DataFrame:
     readers.register_views({"comprehensive_view": _view(spark, root)})
-    return plain(insights_sql.run_sql(spark, text))
+    return plain(spark.sql(text))
 
 
 @query

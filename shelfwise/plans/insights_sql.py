@@ -1,46 +1,39 @@
-"""Reports as SQL text over views or catalog tables of the curated names.
+"""Reports as Spark SQL over a view or catalog table named ``comprehensive_view``.
 
 For those who query the lake in SQL: register the curated tables (``register_views`` or
-``create_external_table``) and run any of these with ``spark.sql``.
+``create_external_table``) and pass any of these to ``spark.sql``.
 """
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-
 REVENUE_SHARE = """
-SELECT county, category,
-       CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue,
-       SUM(total_quantity) AS total_quantity,
-       ROUND(CAST(SUM(total_revenue) AS DOUBLE) * 100.0D
-             / CAST(SUM(SUM(total_revenue)) OVER (PARTITION BY county) AS DOUBLE), 2)
-         AS revenue_percentage_by_county
-FROM comprehensive_view
-GROUP BY county, category
-ORDER BY county, total_revenue DESC
+WITH pairs AS (
+  SELECT county, category, sum(total_revenue) AS revenue, sum(total_quantity) AS units
+  FROM comprehensive_view GROUP BY ALL
+), shares AS (
+  SELECT *, CAST(revenue AS DOUBLE) * 100 / nullif(CAST(sum(revenue) OVER (PARTITION BY county) AS DOUBLE), 0) AS share
+  FROM pairs
+)
+SELECT county, category, CAST(revenue AS DOUBLE) AS total_revenue, units AS total_quantity,
+       round(share, 2) AS revenue_percentage_by_county
+FROM shares
+ORDER BY county, revenue DESC
 """
 
 TOP_COUNTIES = """
-SELECT county,
-       CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue,
-       SUM(total_quantity) AS total_quantity,
-       COUNT(*) AS product_count
-FROM comprehensive_view
-GROUP BY county
-ORDER BY total_revenue DESC, county
+WITH totals AS (
+  SELECT county, sum(total_revenue) AS revenue, sum(total_quantity) AS units, count(1) AS product_count
+  FROM comprehensive_view GROUP BY ALL
+)
+SELECT county, CAST(revenue AS DOUBLE) AS total_revenue, units AS total_quantity, product_count
+FROM totals
+ORDER BY revenue DESC, county
 LIMIT 10
 """
 
 QUALITY_ISSUES = """
-SELECT 'Negative revenue' AS issue_type, COUNT(*) AS issue_count
-FROM comprehensive_view WHERE total_revenue < 0
-UNION ALL
-SELECT 'Zero quantity', COUNT(*) FROM comprehensive_view WHERE total_quantity = 0
-UNION ALL
-SELECT 'Null product names', COUNT(*)
-FROM comprehensive_view WHERE product_name IS NULL OR product_name = ''
+SELECT stack(3,
+         'Negative revenue', count_if(total_revenue < 0),
+         'Zero quantity', count_if(total_quantity = 0),
+         'Null product names', count_if(coalesce(product_name, '') = '')
+       ) AS (issue_type, issue_count)
+FROM comprehensive_view
 """
-
-
-def run_sql(spark: SparkSession, text: str) -> DataFrame:
-    return spark.sql(text)

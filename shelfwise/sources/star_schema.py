@@ -91,16 +91,13 @@ def raw_sales(spark: SparkSession, root: str, extra: tuple[str, ...] = ()) -> Da
 
 
 def raw_products(spark: SparkSession, root: str) -> DataFrame:
-    """Products with some missing rows and missing names."""
+    """Products of which some go by another id, so that their sales match none, and some lack a name."""
     key = F.col("p_partkey")
-    return (
-        table(spark, root, "part")
-        .filter(key % 10 != 0)
-        .select(
-            key.cast("string").alias("product_id"),
-            F.when(key % 23 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("product_name"),
-            F.col("p_type").alias("category"),
-        )
+    text = key.cast("string")
+    return table(spark, root, "part").select(
+        F.when(key % 10 == 0, F.concat(F.lit("old-"), text)).otherwise(text).alias("product_id"),
+        F.when(key % 23 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("product_name"),
+        F.col("p_type").alias("category"),
     )
 
 

@@ -167,9 +167,10 @@ def test_csv_export(spark, sales, tmp_path):
 def test_reports_in_sql_equal_the_functions(spark, sales, products):
     view = curated.comprehensive_view(sales, products)
     readers.register_views({"comprehensive_view": view})
-    assert rows(insights_sql.run_sql(spark, insights_sql.TOP_COUNTIES)) == rows(insights.top_counties(view))
-    share = rows(insights_sql.run_sql(spark, insights_sql.REVENUE_SHARE))
+    assert rows(spark.sql(insights_sql.TOP_COUNTIES)) == rows(insights.top_counties(view))
+    share = rows(spark.sql(insights_sql.REVENUE_SHARE))
     assert share == rows(insights.revenue_share(view))
+    assert rows(spark.sql(insights_sql.QUALITY_ISSUES)) == rows(insights.quality_issues(view))
     assert {r[0]: r[4] for r in share if r[0] == "Nairobi"} == {"Nairobi": 100.0}
 
 
