@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfwise.llm.idsets import without_ids
 from shelfwise.llm.near_dedup import near_duplicates
 from shelfwise.session import materialize
 
@@ -12,8 +13,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(COLUMNS)
+    dropped = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    return without_ids(docs, "doc_id", materialize(dropped, "dropped")).select(COLUMNS)
 
 
 STAGES = [("MinHash near-dedup", near_dedup)]

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm.components import connected_components
+from shelfwise.llm.idsets import mark_possible
 from shelfwise.llm.tasks import Rows, forest, groups
 from shelfwise.llm.texts import shingles, text_chunks
 from shelfwise.session import materialize
@@ -236,6 +237,7 @@ def _exact_links(documents: DataFrame, members: DataFrame, percent: int, width:
 
     keys = ["g", "s", "up", "x", "y"]
     text = documents.select(F.col("doc_id").cast("long").alias("c"), "text")
+    text = mark_possible(text, "c", members.select("c")).filter("possible").drop("possible")
     return (
         placed.join(text, "c")
         .select("c", "g", "meets", "text")
