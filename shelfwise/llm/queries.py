@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.near_dedup import near_duplicates
+from shelfwise.llm.quality import score
+from shelfwise.llm.repeats import repeat_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,3 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_near_duplicates(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality(spark, sf_dir):
+    """A quality score for all documents."""
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_mixture(spark, sf_dir):
+    """How often each document is used in a mixture of as many tokens, with its sources nearly even."""
+    return mix_sources(table(spark, sf_dir, "documents"), entropy_share=0.95, max_repeats=4)
+
+
+@query
+def op3_repeats(spark, sf_dir):
+    """What is left of all documents without strings of 200 bytes that occur twice."""
+    return repeat_report(table(spark, sf_dir, "documents"))
