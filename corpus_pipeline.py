@@ -5,28 +5,79 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.idsets import without_ids
+from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.near_dedup import near_duplicates
+from shelfwise.llm.pieces import encode
+from shelfwise.llm.quality import keep_good
+from shelfwise.llm.repeats import without_repeats
 from shelfwise.session import materialize
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A source is used this often at most, and at least once, so no document is lost in mixing.
+MAX_REPEATS = 2.0
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    """The columns of documents; n_chars counts the characters of the text as it is."""
+    return docs.select("doc_id", "text", "lang", "source", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"))
+
+
+def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality score rejects go."""
+    return _documents(keep_good(_documents(docs), spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    dropped = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return without_ids(docs, "doc_id", materialize(dropped, "dropped")).select(COLUMNS)
+    """Of each group of near-duplicates one row stays: that of the smallest id.
+
+    Rows that share an id are one document, so one of them stays; the one with the longest text,
+    then the last in the order of the other columns. Rows without an id stay.
+    """
+    found = materialize(near_duplicates(docs), "near-duplicates")
+    dropped = found.filter("not kept").select("doc_id").distinct()
+    docs = without_ids(docs, "doc_id", materialize(dropped, "dropped"))
+    if found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        named = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct(F.length("text"), "text", "lang", "source")).alias("x"))
+        one = named.select("doc_id", "x.text", "x.lang", "x.source")
+        docs = one.union(docs.filter("doc_id is null").select(one.columns))
+    return _documents(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that occur more than once are cut out of the texts."""
+    return _documents(without_repeats(_documents(docs)))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mixture uses it."""
+    used = mix_sources(docs, max_repeats=MAX_REPEATS, cover=True)
+    again = materialize(used.filter("copies > 1").select(F.col("doc_id").alias("_id"), F.xxhash64("source").alias("_source"), "copies").distinct(), "copies")
+    source = F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("")))
+    repeated = docs.join(again, (F.col("doc_id") == F.col("_id")) & (source == F.col("_source")))
+    extra = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(2), F.col("copies"))))
+    return _documents(docs).union(_documents(extra))
+
+
+def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts as sampled pieces: doc_id, lang, source, n_chars, piece_ids, n_pieces."""
+    return encode(_documents(docs))
 
 
-STAGES = [("MinHash near-dedup", near_dedup)]
+STAGES = [
+    ("quality classifier", reject_poor),
+    ("MinHash near-dedup", near_dedup),
+    ("suffix-array dedup", cut_repeats),
+    ("source mixing", mix),
+    ("SentencePiece encoding", segment),
+]
 
-#: Scores, shared spans and sampled pieces have no SQL form; the stages are tested against brute force.
+#: Learnt scores, sampled pieces and byte-wise digests have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage; what each stage returns is stored and read again."""
+    """The result of the last stage over the documents; what each stage returns is stored and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialize(docs, f"stage-{i}")

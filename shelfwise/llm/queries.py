@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.near_dedup import near_duplicates
+from shelfwise.llm.pieces import encode, with_decoded_digest
 from shelfwise.llm.quality import score
 from shelfwise.llm.repeats import repeat_report
 
@@ -47,3 +48,9 @@ def op10_mixture(spark, sf_dir):
 def op3_repeats(spark, sf_dir):
     """What is left of all documents without strings of 200 bytes that occur twice."""
     return repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_pieces(spark, sf_dir):
+    """A sampled segmentation of all documents, and the digest of what it decodes to."""
+    return with_decoded_digest(encode(table(spark, sf_dir, "documents")))
