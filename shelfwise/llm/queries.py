@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.chat import format_conversations, read_back
+from shelfwise.llm.fingerprints import edited_fingerprints
+from shelfwise.llm.lengths import length_histogram, with_suffix_sums
 from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.near_dedup import near_duplicates
+from shelfwise.llm.nearest import nearest
 from shelfwise.llm.pieces import encode, with_decoded_digest
 from shelfwise.llm.quality import score
 from shelfwise.llm.repeats import repeat_report
+from shelfwise.llm.training_order import read_shards, write_shards
+from shelfwise.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +60,37 @@ def op3_repeats(spark, sf_dir):
 def op6_pieces(spark, sf_dir):
     """A sampled segmentation of all documents, and the digest of what it decodes to."""
     return with_decoded_digest(encode(table(spark, sf_dir, "documents")))
+
+
+@query
+def op2_fingerprints(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts."""
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_chat(spark, sf_dir):
+    """All conversations formatted, expanded into examples and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    return read_back(format_conversations(rows.union(extra)))
+
+
+@query
+def op4_training_order(spark, sf_dir):
+    """All documents as token sequences in shards of a permuted order, read back shard by shard."""
+    path = scratch_path(spark, "training-order")
+    return read_shards(spark, write_shards(table(spark, sf_dir, "documents"), path), path)
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    """The histogram of encoded lengths of all documents, with its suffix sums."""
+    return with_suffix_sums(length_histogram(table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_nearest(spark, sf_dir):
+    """The 20 nearest neighbours of every 20th vector among all vectors."""
+    return nearest(table(spark, sf_dir, "embeddings"))
