@@ -33,8 +33,7 @@ class Mixture:
 
 def word_count(text: Column) -> Column:
     """Words between white space."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), "^[ \\t-\\r]+", "")
-    return F.when(trimmed == "", 0).otherwise(F.size(F.split(F.rtrim(trimmed), "[ \\t-\\r]+"))).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^ \\t-\\r]+")).cast("long")
 
 
 def _at_exponents(sources: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:

@@ -281,11 +281,12 @@ def near_duplicates(
     several = same_row.groupBy("doc_id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a < b")
     joined = connected_components(links.union(several.select("a", "b")).union(several.select("doc_id", "b")).union(several.select("doc_id", "a")))
     named = classes.select("set_key", "c").join(joined.withColumnRenamed("node", "c"), "c", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return signed.select("doc_id", "n_shingles", "set_key").join(
         named.select("set_key", F.coalesce("component", "c").alias("component_id")), "set_key", "left"
     ).select(
         "doc_id",
         "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )

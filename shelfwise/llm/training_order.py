@@ -5,7 +5,9 @@ input splits. A Feistel permutation of the numbers, cycle-walked onto their exac
 sequence its slot; no table of the permutation exists. Slots are dealt in ranges to shards. In a
 shard every record takes the same number of bytes, so a reader starts at any slot by one seek.
 
-The numbers follow the splits of the input: the same files and split size give the same order.
+The numbers follow the splits of the input: the same files and split size give the same order. Texts
+are encoded twice, once to count the sequences of each split and once to place them: that costs less
+than keeping the ids of the whole corpus on disk beside the shuffle and the shards.
 """
 
 from __future__ import annotations
@@ -50,23 +52,22 @@ def permuted(numbers: np.ndarray, size: int, key: int, rounds: int = ROUNDS) ->
     return slots.astype(np.int64)
 
 
-def tokenised(documents: DataFrame, length: int, ranks_file: str) -> DataFrame:
-    """split, place, doc_id, n, ids: for each text its ids (16 bits each, an end id last), and where its sequences are numbered."""
-    schema = pa.schema([("split", pa.int32()), ("place", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
+def _sequences(encoder: Encoder, texts: pa.Array, length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The ids of each text, an end id last, and how many sequences they fill."""
+    ids = [np.array([*encoder.encode(t.as_py() or ""), encoder.end], "<u2") for t in texts]
+    return ids, np.array([-(-len(x) // length) for x in ids], np.int64)
+
+
+def _split_sizes(rows: DataFrame, length: int, ranks_file: str) -> dict[int, int]:
+    """Sequences of each input split: one number for each."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.load(ranks_file)
-        split, place = TaskContext.get().partitionId(), 0
+        encoder, total = Encoder.load(ranks_file), 0
         for batch in batches:
-            ids = [np.array([*encoder.encode(t.as_py() or ""), encoder.end], "<u2") for t in batch.column(1)]
-            parts = np.array([-(-len(x) // length) for x in ids], np.int64)
-            places = place + np.cumsum(parts) - parts
-            place += int(parts.sum())
-            columns = [pa.array(np.full(len(ids), split), pa.int32()), pa.array(places), batch.column(0), pa.array(parts), pa.array([x.tobytes() for x in ids], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            total += int(_sequences(encoder, batch.column(1), length)[1].sum())
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total], pa.int64())], names=["split", "n"])
 
-    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), "text")
-    return rows.mapInArrow(task, "split int, place long, doc_id long, n long, ids binary")
+    return {r["split"]: r["n"] for r in rows.mapInArrow(task, "split int, n long").collect()}
 
 
 def write_shards(
@@ -84,29 +85,31 @@ def write_shards(
     The vocabulary must fit 16 bits.
     """
     spark = documents.sparkSession
-    ready = materialize(tokenised(documents, length, ranks_file), "token-ids")
-    totals = sorted((r[0], r[1]) for r in ready.groupBy("split").agg(F.sum("n")).collect())  # one row for each input split
-    counts = np.array([n for _, n in totals], np.int64)
-    bases = {split: int(base) for (split, _), base in zip(totals, np.cumsum(counts) - counts)}
-    size = int(counts.sum()) if len(counts) else 0
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), "text")
+    sizes = _split_sizes(rows, length, ranks_file)
+    order = sorted(sizes)
+    bases = dict(zip(order, np.concatenate([[0], np.cumsum([sizes[s] for s in order])]).tolist()))
+    size = sum(sizes.values())
     stride = HEADER.itemsize + 2 * length
     pad = Encoder.load(ranks_file).end
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, split = Encoder.load(ranks_file), TaskContext.get().partitionId()
+        at = bases[split]
         for batch in batches:
-            splits, places, docs = (batch.column(k).to_pylist() for k in range(3))
-            numbers, records = [], []
-            for split, at, doc_id, ids in zip(splits, places, docs, batch.column(3)):
-                data = np.frombuffer(ids.as_buffer(), "<u2")
+            records = []
+            for doc_id, data in zip(batch.column(0).to_pylist(), _sequences(encoder, batch.column(1), length)[0]):
                 for part, i in enumerate(range(0, len(data), length)):
                     used = data[i : i + length]
                     head = np.array([(doc_id, part, len(used))], HEADER).tobytes()
-                    numbers.append(bases[split] + at + part)
                     records.append(head + used.tobytes() + pad.to_bytes(2, "little") * (length - len(used)))
-            slots = permuted(np.array(numbers, np.int64), size, key)
+            slots = permuted(np.arange(at, at + len(records)), size, key)
+            at += len(records)
             for i in range(0, len(records), 20_000):
                 mine = slots[i : i + 20_000]
                 yield pa.RecordBatch.from_arrays([pa.array(mine // shard_records), pa.array(mine), pa.array(records[i : i + 20_000], pa.binary())], names=["shard", "slot", "record"])
+        if at != bases[split] + sizes[split]:
+            raise RuntimeError("the input was split otherwise when its sequences were counted")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _store(path)
@@ -133,8 +136,7 @@ def write_shards(
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done), (pa.int64(), pa.string(), pa.int64()))], names=["shard", "file", "records"])
 
     dealt = (
-        ready.select("split", "place", "doc_id", "ids")
-        .mapInArrow(place, "shard long, slot long, record binary")
+        rows.mapInArrow(place, "shard long, slot long, record binary")
         .repartition(F.col("shard"))
         .sortWithinPartitions("shard", "slot")
         .select("shard", "record")
