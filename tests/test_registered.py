@@ -11,6 +11,8 @@ sys.path.insert(0, str(ROOT))
 
 import __spark_entry__ as contract  # noqa: E402
 from shelfwise.checks import run  # noqa: E402
+from shelfwise.checks.oracles import ORACLES  # noqa: E402
+from shelfwise.checks.queries import QUERIES  # noqa: E402
 
 SLOW = {"model_metrics", "forecast", "feature_importance"}
 
@@ -22,14 +24,15 @@ def connection(tables):
 
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == SLOW | {"forecast_accuracy", "kmeans_profile"}
-    assert not [name for name in contract.queries() if re.match(r"op\d", name) or "pipeline" in name]
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(QUERIES) - set(ORACLES) == SLOW | {"forecast_accuracy", "kmeans_profile"}
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in set(contract.queries()) - set(QUERIES))
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() >= 250
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, connection, tables, name):
     assert run.compare(spark, connection, tables, name) is None
