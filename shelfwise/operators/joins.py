@@ -51,16 +51,12 @@ def latest_per_series(
     """The last row of each series, strictly before a date if one is given.
 
     One hash aggregation with map-side combine: no series is sorted or held in one task.
-    Without ``tie_break`` a series must have one row per date, as a daily series has; with it
-    rows of one date are ordered by these columns, then by the values.
+    Of rows of one date the last in the order of the ``tie_break`` columns, then of the values, is
+    taken whole.
     """
     if before is not None:
         df = df.filter(F.col(date) < before)
-    if tie_break is None:
-        return df.groupBy(*keys).agg(
-            F.max(date).alias(date), *[F.max_by(v, date).alias(v) for v in values]
-        )
-    last = df.groupBy(*keys).agg(F.max(F.struct(date, *tie_break, *values)).alias("last"))
+    last = df.groupBy(*keys).agg(F.max(F.struct(date, *(tie_break or ()), *values)).alias("last"))
     return last.select(*keys, F.col(f"last.{date}").alias(date), *[F.col(f"last.{v}").alias(v) for v in values])
 
 
