@@ -1,33 +1,49 @@
 """Reports as Spark SQL over a view or catalog table named ``comprehensive_view``.
 
 For those who query the lake in SQL: register the curated tables (``register_views`` or
-``create_external_table``) and pass any of these to ``spark.sql``.
+``create_external_table``) and pass any of these to ``spark.sql``. Reports on totals are built from
+their definition: the grouping, the measures, the order, and how many rows are wanted.
 """
 
-REVENUE_SHARE = """
-WITH pairs AS (
-  SELECT county, category, sum(total_revenue) AS revenue, sum(total_quantity) AS units
-  FROM comprehensive_view GROUP BY ALL
-), shares AS (
-  SELECT *, CAST(revenue AS DOUBLE) * 100 / nullif(CAST(sum(revenue) OVER (PARTITION BY county) AS DOUBLE), 0) AS share
-  FROM pairs
-)
-SELECT county, category, CAST(revenue AS DOUBLE) AS total_revenue, units AS total_quantity,
-       round(share, 2) AS revenue_percentage_by_county
-FROM shares
-ORDER BY county, revenue DESC
-"""
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+VIEW = "comprehensive_view"
+MEASURES = {
+    "total_revenue": "CAST(sum(total_revenue) AS DOUBLE)",
+    "total_quantity": "sum(total_quantity)",
+    "product_count": "count(*)",
+}
+
 
-TOP_COUNTIES = """
-WITH totals AS (
-  SELECT county, sum(total_revenue) AS revenue, sum(total_quantity) AS units, count(1) AS product_count
-  FROM comprehensive_view GROUP BY ALL
+def share(measure: str, within: Sequence[str], places: int = 2) -> str:
+    """A group's percentage of ``measure`` among the groups that agree in ``within``; null of nothing."""
+    value = MEASURES[measure]
+    whole = f"sum({value}) OVER (PARTITION BY {', '.join(within)})"
+    return f"round(try_divide(100 * {value}, {whole}), {places})"
+
+
+def totals(
+    by: Sequence[str],
+    measures: Sequence[str],
+    order: Sequence[str],
+    limit: int | None = None,
+    extra: dict[str, str] | None = None,
+) -> str:
+    """The text of a report on totals by some columns of the view; ``extra`` has more columns by name."""
+    columns = {**{name: MEASURES[name] for name in measures}, **(extra or {})}
+    shown = [*by, *(f"{text} AS {name}" for name, text in columns.items())]
+    lines = [f"SELECT {', '.join(shown)}", f"FROM {VIEW}", f"GROUP BY {', '.join(by)}", f"ORDER BY {', '.join(order)}"]
+    return "\n".join([*lines, f"LIMIT {limit}"] if limit else lines)
+
+
+TOTALS = ("total_revenue", "total_quantity")
+TOP_COUNTIES = totals(["county"], [*TOTALS, "product_count"], ["total_revenue DESC", "county"], 10)
+REVENUE_SHARE = totals(
+    ["county", "category"], TOTALS, ["county", "total_revenue DESC"],
+    extra={"revenue_percentage_by_county": share("total_revenue", ["county"])},
 )
-SELECT county, CAST(revenue AS DOUBLE) AS total_revenue, units AS total_quantity, product_count
-FROM totals
-ORDER BY revenue DESC, county
-LIMIT 10
-"""
 
 QUALITY_ISSUES = """
 SELECT stack(3,
