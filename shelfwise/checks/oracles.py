@@ -421,7 +421,7 @@ ORACLES: dict[str, str] = {
         last AS (SELECT product_id, county, quantity, CAST(price AS DOUBLE) AS price FROM daily
                  QUALIFY row_number() OVER (PARTITION BY product_id, county ORDER BY date DESC) = 1),
         future AS (SELECT last.*, CAST((SELECT max(date) FROM daily) + CAST(k AS INTEGER) AS DATE) AS date
-                   FROM last, range(1, 4) r(k))
+                   FROM last, range(1, 31) r(k))
         SELECT product_id, county, CAST(date AS VARCHAR) AS date,
         CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week, CAST(day(date) AS INTEGER) AS day_of_month,
         CAST(month(date) AS INTEGER) AS month, CAST(quarter(date) AS INTEGER) AS quarter,
@@ -430,6 +430,11 @@ ORACLES: dict[str, str] = {
         CAST(quantity AS DOUBLE) AS rolling_3d_avg, CAST(quantity AS DOUBLE) AS rolling_7d_avg,
         CAST(quantity AS DOUBLE) AS rolling_30d_avg, CAST(0 AS DOUBLE) AS rolling_7d_std,
         CAST(0 AS DOUBLE) AS rolling_30d_std, price, price AS avg_price_7d FROM future""",
+    "naive_errors": f"""WITH {SALES}, {daily('product_id, county')}, errors AS (
+        SELECT quantity, quantity - lag(quantity, 1, 0) OVER (PARTITION BY product_id, county ORDER BY date) AS error
+        FROM daily)
+        SELECT COUNT(*) AS n, round(sqrt(avg(error * error)), 6) AS rmse, round(avg(abs(error)), 6) AS mae,
+        round(1 - sum(error * error) / (var_pop(quantity) * COUNT(*)), 6) AS r2 FROM errors""",
     "demand_trend": f"""{TRENDS} SELECT county, CAST(date AS VARCHAR) AS date, round(prediction, 6) AS prediction
         FROM forecasts""",
     "inventory": f"{TRENDS}, {stock('forecasts', 'prediction')}",

@@ -12,7 +12,6 @@ from shelfwise.functions.measures import revenue
 from shelfwise.operators import audit, cleaning, curated, demand, enrichment, joins, protection, quality
 from shelfwise.operators import ranking, segments, series
 from shelfwise.plans import curate, forecasting, insights, insights_sql
-from shelfwise.plans.refine import refine
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sources import readers, sinks, star_schema as star
 from shelfwise.streaming import windows
@@ -63,8 +62,9 @@ def _by_county(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _last_day(spark: SparkSession, root: str):
-    """The last sale day: a scan of one column."""
-    return latest_day(star.sales(spark, root, county=False))
+    """The last sale day as a literal, from a scan of one column: a bound that scans push down."""
+    sales = star.sales(spark, root, county=False)
+    return F.lit(sales.agg(F.max("date")).first()[0]).cast("date")
 
 
 def _table_name() -> str:
@@ -222,8 +222,9 @@ def clean_products(spark, root):
 @query
 def refine_dirty(spark, root):
     """Cleaned dirty sales with product columns: unknown products keep their nulls."""
-    refined = refine(star.raw_sales(spark, root), star.raw_products(spark, root), star.PRICE_TYPE)
-    return plain(curated.sales_by_product(refined, ordered=False))
+    sales = cleaning.clean_sales(star.raw_sales(spark, root, county=False), star.PRICE_TYPE)
+    products = cleaning.clean_products(star.raw_products(spark, root))
+    return plain(curated.sales_by_product(sales, products, ordered=False))
 
 
 @query
@@ -256,7 +257,7 @@ def case_weekend(spark, root):
 def recent_sales(spark, root):
     """The sales of the last six months before the last date."""
     sales = star.sales(spark, root, county=False)
-    return plain(sales.filter(within_last_months(F.col("date"), 6, latest_day(sales))))
+    return plain(sales.filter(within_last_months(F.col("date"), 6, _last_day(spark, root))))
 
 
 @query
@@ -384,17 +385,8 @@ def max_date(spark, root):
 @query
 def step_counts(spark, root):
     """Row counts of raw, cleaned and joined data."""
-    raw, raw_products = star.raw_sales(spark, root), star.raw_products(spark, root)
-    cleaned = cleaning.clean_sales(raw, star.PRICE_TYPE)
-    return curated.step_counts(
-        {
-            "sales_raw": raw,
-            "products_raw": raw_products,
-            "sales_cleaned": cleaned,
-            "products_cleaned": cleaning.clean_products(raw_products),
-            "joined": joins.join_products(cleaned, cleaning.clean_products(raw_products)),
-        }
-    )
+    raw = star.raw_sales(spark, root, county=False)
+    return curated.refine_counts(raw, star.raw_products(spark, root), star.PRICE_TYPE)
 
 
 # ranking
@@ -473,8 +465,9 @@ def insight_12(spark, root):
 
 @query
 def insight_13(spark, root):
-    refined = refine(star.raw_sales(spark, root), star.raw_products(spark, root), star.PRICE_TYPE)
-    return quality.quality_issues(curated.comprehensive_view(refined, ordered=False))
+    sales = cleaning.clean_sales(star.raw_sales(spark, root), star.PRICE_TYPE)
+    products = cleaning.clean_products(star.raw_products(spark, root))
+    return quality.quality_issues(curated.comprehensive_view(sales, products, ordered=False))
 
 
 @query
@@ -527,7 +520,7 @@ def quality_verdict(spark, root):
 
 
 def _typed_raw(spark: SparkSession, root: str) -> DataFrame:
-    raw = star.raw_sales(spark, root)
+    raw = star.raw_sales(spark, root, county=False)
     return raw.withColumn("price", F.col("price").try_cast(star.PRICE_TYPE))
 
 
@@ -647,49 +640,54 @@ def hash_split(spark, root):
 @query
 def forecast_frame(spark, root):
     daily = series.daily_series(star.sales(spark, root))
-    return plain(forecasting.forecast_frame(daily, days=3, last_day=_last_day(spark, root)))
+    return plain(forecasting.forecast_frame(daily, last_day=_last_day(spark, root)))
 
 
-def _group_daily(spark: SparkSession, root: str) -> DataFrame:
-    return materialize(series.daily_series(_refined(spark, root), GROUP_SERIES), "daily")
+def _daily(spark: SparkSession, root: str) -> DataFrame:
+    return materialize(series.daily_series(star.sales(spark, root)), "daily")
 
 
-def _train(daily: DataFrame, names=tuple(forecasting.ESTIMATORS), **options) -> forecasting.TrainedModels:
-    keys = [*GROUP_SERIES, "date"]
-    table = materialize(series.sales_features(daily, GROUP_SERIES), "features")
-    train, test = forecasting.split_rows(table, keys)
-    train = materialize(forecasting.spread(train, keys), "train")
-    return forecasting.train_models(train, test, names=names, **options)
+def _train(daily: DataFrame, **options) -> forecasting.TrainedModels:
+    table = materialize(series.sales_features(daily), "features")
+    train, test = forecasting.split_rows(table, [*series.SERIES, "date"])
+    return forecasting.train_models(materialize(train, "train"), test, **options)
 
 
 @query
 def model_metrics(spark, root):
-    trained = _train(_group_daily(spark, root), index_categories=False)
+    trained = _train(_daily(spark, root))
     return forecasting.model_metrics(spark, trained)
 
 
 @query
 def forecast(spark, root):
-    daily = _group_daily(spark, root)
-    trained = _train(daily, ["gradient_boosted", "linear_regression"])
-    return plain(forecasting.forecast(trained, daily, GROUP_SERIES, 30))
+    """Every product and county on each of the next 30 days, by the best of all models."""
+    daily = _daily(spark, root)
+    return plain(forecasting.forecast(_train(daily), daily))
 
 
 @query
 def feature_importance(spark, root):
-    trained = _train(_group_daily(spark, root), ["gradient_boosted"])
-    return forecasting.feature_importance(spark, trained)
+    trained = _train(_daily(spark, root))
+    trees = [n for n in trained.metrics if n != "linear_regression"]
+    return forecasting.feature_importance(spark, trained, min(trees, key=lambda n: trained.metrics[n]["rmse"]))
 
 
 @query
 def forecast_accuracy(spark, root):
     """Models that do not know the last 30 days, measured on them."""
-    daily = _group_daily(spark, root)
-    known = daily.filter(F.col("date") <= F.date_sub(latest_day(daily), 30))
-    trained = _train(known, ["linear_regression"], index_categories=True)
-    return forecasting.forecast_accuracy(
-        daily, forecasting.forecast(trained, known, GROUP_SERIES, 30), GROUP_SERIES
-    )
+    daily = _daily(spark, root)
+    known = daily.filter(F.col("date") <= F.date_sub(_last_day(spark, root), 30))
+    trained = _train(known, with_categories=True)
+    return forecasting.forecast_accuracy(daily, forecasting.forecast(trained, known))
+
+
+@query
+def naive_errors(spark, root):
+    """Errors of the day before as the forecast, over all series: the measures that choose a model."""
+    table = series.sales_features(series.daily_series(star.sales(spark, root)))
+    errors = forecasting.error_metrics(table, "quantity", "prev_day_quantity")
+    return errors.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
 
 
 @query

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwise.functions.measures import UNITS, ratio, revenue_units, with_price_units
+from shelfwise.functions.measures import UNITS, ratio, revenue_units, unit_sum, with_price_units
+from shelfwise.operators.cleaning import is_kept
 from shelfwise.operators.joins import join_products
 
 BY_PRODUCT = ("product_id", "product_name", "category")
@@ -29,10 +30,10 @@ def _unit_sums(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
     priced = F.col(UNITS).isNotNull()
     sold = F.col("quantity").isNotNull()
     return sales.groupBy(*keys).agg(
-        F.sum(revenue_units()).alias("revenue_sum"),
+        unit_sum(sales, revenue_units(), "quantity").alias("revenue_sum"),
         F.count_if(priced & sold).alias("revenue_n"),
         F.sum("quantity").alias("quantity_sum"),
-        F.sum(UNITS).alias("price_sum"),
+        unit_sum(sales, F.col(UNITS)).alias("price_sum"),
         F.count(UNITS).alias("price_n"),
         F.count(F.lit(1)).alias("row_n"),
         F.count("product_id").alias("product_n"),
@@ -198,6 +199,31 @@ def top_items_metrics(df: DataFrame, group: str = "county") -> DataFrame:
     )
 
 
+def refine_counts(raw_sales: DataFrame, raw_products: DataFrame, price_type: str = "float") -> DataFrame:
+    """Row counts of the steps of refining, from one pass over each raw table.
+
+    The joined rows come from cleaned sales by product times how often the product is listed;
+    neither side is joined row by row. Cleaning keeps every product.
+    """
+    by_product = raw_sales.groupBy(F.col("product_id").cast("string").alias("product_id")).agg(
+        F.count(F.lit(1)).alias("raw"), F.count_if(is_kept(raw_sales, price_type)).alias("cleaned")
+    )
+    listed = raw_products.groupBy(F.col("product_id").cast("string").alias("product_id")).agg(
+        F.count(F.lit(1)).alias(COPIES)
+    )
+    sales = by_product.join(listed, "product_id", "left").agg(
+        F.coalesce(F.sum("raw"), F.lit(0)).alias("sales_raw"),
+        F.coalesce(F.sum("cleaned"), F.lit(0)).alias("sales_cleaned"),
+        F.coalesce(F.sum(F.col("cleaned") * F.coalesce(COPIES, F.lit(1))), F.lit(0)).alias("joined"),
+    )
+    names = ("sales_raw", "sales_cleaned", "joined")
+    pairs = F.array(*[F.struct(F.lit(n).alias("step"), F.col(n).alias("row_count")) for n in names])
+    products = step_counts({"products_raw": raw_products}).withColumn(
+        "step", F.explode(F.array(F.lit("products_raw"), F.lit("products_cleaned")))
+    )
+    return sales.select(F.inline(pairs)).unionByName(products)
+
+
 def step_counts(steps: dict[str, DataFrame]) -> DataFrame:
     """Row count of each named step."""
     counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("step"), "row_count")

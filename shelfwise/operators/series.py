@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.calendar import calendar_columns
-from shelfwise.functions.measures import UNITS, fixed_mean, ratio, revenue, revenue_units, with_price_units
+from shelfwise.functions.measures import UNITS, fixed_mean, ratio, revenue, revenue_units, unit_sum, with_price_units
 
 FEATURE_COLUMNS = (
     "day_of_week", "day_of_month", "month", "quarter", "year", "is_weekend",
@@ -30,9 +30,9 @@ def daily_series(sales: DataFrame, keys: Sequence[str] = SERIES, date: str = "da
     sales, back = with_price_units(sales)
     sums = sales.groupBy(*keys, date).agg(
         F.sum("quantity").alias("quantity"),
-        F.sum(UNITS).alias("price"),
+        unit_sum(sales, F.col(UNITS)).alias("price"),
         F.count(UNITS).alias("priced"),
-        F.sum(revenue_units()).alias("revenue"),
+        unit_sum(sales, revenue_units(), "quantity").alias("revenue"),
     )
     return sums.select(
         *keys,

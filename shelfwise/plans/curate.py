@@ -13,15 +13,15 @@ from shelfwise.sources import readers, sinks
 def curated_tables(sums: DataFrame, money: str | None = "double", ordered: bool = False) -> dict[str, DataFrame]:
     """The five tables from sums by county, category and product.
 
-    They are unsorted unless asked for: a partitioned write does not keep a global order.
+    They are unsorted unless asked for: a partitioned write does not keep a global order. The sums
+    already have one row per county and product, so the ranking takes them as they are.
     """
-    items = curated.roll_up(sums, curated.BY_COUNTY_PRODUCT)
     return {
         "sales_by_product": curated.finish_by_product(curated.roll_up(sums, curated.BY_PRODUCT), money),
         "sales_by_county": curated.finish_by_county(curated.roll_up(sums, ["county"]), money),
         "sales_by_category": curated.finish_by_category(curated.roll_up(sums, ["category"]), money),
         "top_items_per_county": rank_items(
-            curated.finish_by_county_product(items, money=None), ordered=ordered, money=money
+            curated.finish_by_county_product(sums, money=None), ordered=ordered, money=money
         ),
         "comprehensive_view": curated.finish_comprehensive(sums, money),
     }
@@ -40,7 +40,7 @@ def run_curate(
     The sums are stored once in the shared folder, so each of the five writes reads a small
     table instead of the refined layer. Metrics come from what was written.
     """
-    refined = readers.read_layer(spark, refined_path)
+    refined = readers.read_refined(spark, refined_path)
     sums = materialize(curated_sums(refined), "curated-sums")
     paths = sinks.write_curated(curated_tables(sums), curated_root)
     if audit_path:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions.calendar import as_day, within_last_months
-from shelfwise.functions.measures import mean_of_means, percentage, revenue_units, with_price_units
+from shelfwise.functions.measures import mean_of_means, percentage, revenue_units, unit_sum, with_price_units
 from shelfwise.operators.joins import join_known_products
 from shelfwise.operators.quality import quality_issues  # noqa: F401  (the thirteenth report)
 from shelfwise.operators.ranking import number_within, top_rows
@@ -143,7 +143,7 @@ def monthly_revenue(sales: DataFrame, months: int = 6, as_of=None) -> DataFrame:
     return (
         recent.groupBy(F.trunc("date", "MM").alias("month"), "county")
         .agg(
-            back(F.sum(revenue_units())).cast("double").alias("monthly_revenue"),
+            back(unit_sum(recent, revenue_units(), "quantity")).cast("double").alias("monthly_revenue"),
             F.sum("quantity").alias("monthly_quantity"),
         )
         .orderBy(F.desc("month"), F.desc("monthly_revenue"))
@@ -162,7 +162,7 @@ def county_drill_down(view: DataFrame, county: str, n: int = 100) -> DataFrame:
 def county_sales(sales: DataFrame) -> DataFrame:
     """Number of sales and revenue by county."""
     sales, back = with_price_units(sales)
-    total = back(F.sum(revenue_units())).cast("double")
+    total = back(unit_sum(sales, revenue_units(), "quantity")).cast("double")
     return (
         sales.groupBy("county")
         .agg(F.count(F.lit(1)).alias("sales_count"), total.alias("total_revenue"))

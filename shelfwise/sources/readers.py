@@ -40,6 +40,12 @@ def read_layer(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def read_refined(spark: SparkSession, path: str) -> DataFrame:
+    """The refined layer. Its date, text where it comes from the names of folders, is a date."""
+    stored = read_layer(spark, path)
+    return stored.withColumn("date", F.col("date").try_cast("date")) if "date" in stored.columns else stored
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -67,7 +67,7 @@ def products(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def raw_sales(spark: SparkSession, root: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def raw_sales(spark: SparkSession, root: str, county: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
     """Sales as text with missing, negative and malformed values, the same on every read."""
     key = F.col("l_orderkey")
     text = F.col("price").cast("string")
@@ -79,11 +79,11 @@ def raw_sales(spark: SparkSession, root: str, extra: tuple[str, ...] = ()) -> Da
     )
     quantity = F.when(key % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("quantity").cast("string"))
     product = F.when(key % 19 == 0, F.lit("")).otherwise(F.col("product_id"))
-    clean = sales(spark, root, extra=("l_orderkey", *[c for c in extra if c != "l_orderkey"]))
+    clean = sales(spark, root, county, extra=("l_orderkey", *[c for c in extra if c != "l_orderkey"]))
     return clean.select(
         product.alias("product_id"),
         F.col("date").cast("string").alias("date"),
-        "county",
+        *(["county"] if county else []),
         quantity.alias("quantity"),
         price.alias("price"),
         *extra,

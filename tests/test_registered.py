@@ -5,6 +5,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from conftest import plan
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
@@ -33,6 +34,12 @@ def test_entry(spark):
     assert contract.entry(spark).count() >= 250
 
 
+def test_checks_and_bounds_read_only_what_they_need(spark, tables):
+    assert "Join" not in plan(QUERIES["quality_checks"](spark, tables))
+    assert plan(QUERIES["step_counts"](spark, tables)).count("lineitem.parquet") == 1
+    assert "GreaterThanOrEqual(l_shipdate" in plan(QUERIES["insight_11"](spark, tables))
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, connection, tables, name):
     assert run.compare(spark, connection, tables, name) is None

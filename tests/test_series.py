@@ -136,19 +136,28 @@ def test_forecast_job(spark, history, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "metrics")).filter("is_best").count() == 1
 
 
-def test_indexed_categories_accept_unseen_values(history):
-    table = series.sales_features(series.daily_series(history))
-    trained = forecasting.train_models(
-        table.filter("product_id = 'p'"), table, names=["linear_regression"], index_categories=True
+def test_models_take_categories_of_any_number_of_values(spark):
+    """200 products in 49 counties, and products that training did not see."""
+    table = spark.range(2000).select(
+        F.format_string("p%d", F.col("id") % 200).alias("product_id"), F.format_string("c%d", F.col("id") % 49).alias("county"),
+        F.date_add(F.lit(START), (F.col("id") % 31).cast("int")).alias("date"), (F.col("id") % 7).alias("quantity"),
+        (F.col("id") % 13).cast("double").alias("price"),
     )
-    assert not trained.failed
-    assert trained.feature_columns[-2:] == ("county_indexed", "product_id_indexed")
+    unseen = table.withColumn("product_id", F.concat("product_id", F.lit("x")))
+    trained = forecasting.train_models(table, unseen, feature_columns=["price"], with_categories=True)
+    assert set(trained.metrics) == set(forecasting.ESTIMATORS) and not trained.failed
+    assert len(trained.feature_columns) == 1 + forecasting.CATEGORY_WIDTH
+    importance = forecasting.feature_importance(spark, trained, "random_forest")
+    assert importance.count() == len(trained.feature_columns)
 
 
-def test_too_many_values_to_index(history, monkeypatch):
-    monkeypatch.setattr(forecasting, "MAX_INDEXED_VALUES", 1)
-    with pytest.raises(ValueError, match="too many values"):
-        forecasting.train_models(history, history, index_categories=True)
+def test_a_fit_does_not_depend_on_how_its_input_is_split(history):
+    table = series.sales_features(series.daily_series(history))
+    names = ["random_forest", "gradient_boosted"]
+    few = forecasting.train_models(table.coalesce(1), table, names=names)
+    many = forecasting.train_models(table.repartition(7), table, names=names)
+    for name in names:
+        assert few.metrics[name] == pytest.approx(many.metrics[name], rel=1e-9)
 
 
 def test_untrained(history):
