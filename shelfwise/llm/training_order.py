@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfwise.llm.tasks import changes
 from shelfwise.llm.texts import mix
 from shelfwise.llm.tokens import RANKS_FILE, Encoder
 from shelfwise.session import materialize
@@ -28,6 +30,8 @@ from shelfwise.session import materialize
 LENGTH = 256
 SHARD_RECORDS = 8192
 ROUNDS = 6
+#: Documents whose records are built at a time.
+ROWS = 500
 #: Before the ids of a record: document, part of it, ids in use.
 HEADER = np.dtype([("doc_id", "<i8"), ("part", "<i4"), ("n_tokens", "<i4")])
 
@@ -52,10 +56,27 @@ def permuted(numbers: np.ndarray, size: int, key: int, rounds: int = ROUNDS) ->
     return slots.astype(np.int64)
 
 
-def _sequences(encoder: Encoder, texts: pa.Array, length: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The ids of each text, an end id last, and how many sequences they fill."""
-    ids = [np.array([*encoder.encode(t.as_py() or ""), encoder.end], "<u2") for t in texts]
-    return ids, np.array([-(-len(x) // length) for x in ids], np.int64)
+def _record(length: int) -> np.dtype:
+    return np.dtype([*((name, HEADER[name]) for name in HEADER.names), ("ids", "<u2", (length,))])
+
+
+def _records(encoder: Encoder, doc_id: int, text: str, length: int) -> np.ndarray:
+    """The records of a text: its ids, an end id last, the last record padded with that id."""
+    ids = array("H", encoder.encode(text))
+    n = len(ids) // length + 1
+    made = np.empty(n, _record(length))
+    made["doc_id"], made["part"], made["n_tokens"] = doc_id, np.arange(n), length
+    made["n_tokens"][-1] = len(ids) + 1 - (n - 1) * length
+    padded = np.full(n * length, encoder.end, "<u2")
+    padded[: len(ids)] = ids
+    made["ids"] = padded.reshape(n, length)
+    return made
+
+
+def _binary(records: np.ndarray) -> pa.Array:
+    """One binary value for each record."""
+    ends = np.arange(len(records) + 1, dtype=np.int32) * np.int32(records.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(records), [None, pa.py_buffer(ends), pa.py_buffer(records.tobytes())])
 
 
 def _split_sizes(rows: DataFrame, length: int, ranks_file: str) -> dict[int, int]:
@@ -64,7 +85,7 @@ def _split_sizes(rows: DataFrame, length: int, ranks_file: str) -> dict[int, int
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total = Encoder.load(ranks_file), 0
         for batch in batches:
-            total += int(_sequences(encoder, batch.column(1), length)[1].sum())
+            total += sum(len(encoder.encode(t.as_py() or "")) // length + 1 for t in batch.column(1))
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total], pa.int64())], names=["split", "n"])
 
     return {r["split"]: r["n"] for r in rows.mapInArrow(task, "split int, n long").collect()}
@@ -97,17 +118,13 @@ def write_shards(
         encoder, split = Encoder.load(ranks_file), TaskContext.get().partitionId()
         at = bases[split]
         for batch in batches:
-            records = []
-            for doc_id, data in zip(batch.column(0).to_pylist(), _sequences(encoder, batch.column(1), length)[0]):
-                for part, i in enumerate(range(0, len(data), length)):
-                    used = data[i : i + length]
-                    head = np.array([(doc_id, part, len(used))], HEADER).tobytes()
-                    records.append(head + used.tobytes() + pad.to_bytes(2, "little") * (length - len(used)))
-            slots = permuted(np.arange(at, at + len(records)), size, key)
-            at += len(records)
-            for i in range(0, len(records), 20_000):
-                mine = slots[i : i + 20_000]
-                yield pa.RecordBatch.from_arrays([pa.array(mine // shard_records), pa.array(mine), pa.array(records[i : i + 20_000], pa.binary())], names=["shard", "slot", "record"])
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                named = zip(part.column(0).to_pylist(), part.column(1))
+                records = np.concatenate([_records(encoder, doc_id, text.as_py() or "", length) for doc_id, text in named])
+                slots = permuted(np.arange(at, at + len(records)), size, key)
+                at += len(records)
+                yield pa.RecordBatch.from_arrays([pa.array(slots // shard_records), pa.array(slots), _binary(records)], names=["shard", "slot", "record"])
         if at != bases[split] + sizes[split]:
             raise RuntimeError("the input was split otherwise when its sequences were counted")
 
@@ -123,14 +140,17 @@ def write_shards(
                 store.move(f"{root}/.{open_}-{attempt}", f"{root}/{_name(open_)}")
                 done.append((open_, _name(open_), count))
 
-        for batch in batches:
-            for shard, record in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if shard != open_:
+        for batch in filter(len, batches):
+            numbers, (_, ends, data) = batch.column(0).to_numpy(), batch.column(1).buffers()
+            ends = np.frombuffer(ends, np.int32)[batch.column(1).offset :]
+            cuts = [0, *changes(batch, 1).tolist(), batch.num_rows]
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if numbers[i] != open_:
                     close()
-                    open_, count = shard, 0
-                    stream = store.open_output_stream(f"{root}/.{shard}-{attempt}")
-                stream.write(record.as_buffer())
-                count += 1
+                    open_, count = int(numbers[i]), 0
+                    stream = store.open_output_stream(f"{root}/.{open_}-{attempt}")
+                stream.write(data[int(ends[i]) : int(ends[j])])
+                count += j - i
         close()
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done), (pa.int64(), pa.string(), pa.int64()))], names=["shard", "file", "records"])
@@ -161,7 +181,7 @@ def _store(path: str):
 
 
 def read_records(path: str, start: int = 0, stop: int | None = None) -> Iterator[tuple[int, np.void, np.ndarray]]:
-    """(slot, header, ids in use) of the slots from start on, in order: what a trainer reads, also after a break."""
+    """(slot, record, ids in use) of the slots from start on, in order: what a trainer reads, also after a break."""
     store, root = _store(path)
     with store.open_input_stream(f"{root}/manifest.json") as file:
         manifest = json.loads(file.read())
@@ -174,10 +194,8 @@ def read_records(path: str, start: int = 0, stop: int | None = None) -> Iterator
             file.seek((slot - shard * per) * stride)
             end = min(stop, (shard + 1) * per)
             while slot < end:
-                data = file.read(stride * min(1024, end - slot))
-                for i in range(0, len(data), stride):
-                    head = np.frombuffer(data, HEADER, 1, i)[0]
-                    yield slot, head, np.frombuffer(data, "<u2", length, i + HEADER.itemsize)[: head["n_tokens"]]
+                for record in np.frombuffer(file.read(stride * min(1024, end - slot)), _record(length)):
+                    yield slot, record, record["ids"][: record["n_tokens"]]
                     slot += 1
 
 
