@@ -8,7 +8,7 @@
    stages, a bounded amount of text at a time, and neighbours with a common prefix of ``length``
    bytes are repeated windows. Equal pieces are merged first (a passage that a third of the
    documents share is one row for each batch of a task), and a hash with more than ``hot`` pieces
-   is split by a hash of the windows.
+   is split by the smallest hash among longer strings of its windows.
 3. Repeated windows go back to their documents as spans.
 """
 
@@ -90,6 +90,18 @@ def _piece_hashes(keyed: DataFrame, length: int) -> DataFrame:
     return keyed.mapInArrow(task, "_a long, _b int, h long")
 
 
+def _shares(prefix: np.ndarray, first: int, last: int, length: int, shares: int) -> np.ndarray:
+    """Which of ``shares`` parts of its hash each window first..last goes to; equal windows go to the same.
+
+    The smallest hash among the window's strings of nearly its length decides, so neighbours mostly stay
+    together. The more parts, the longer the strings, up to the window itself: a string that very many
+    documents share with different neighbours does not hold them together.
+    """
+    width = max(1, (length - _gram(length) + 1) // shares)
+    start = np.arange(first, last + width)
+    return (_window_minima(mix(span_hashes(prefix, start, start + length - width + 1)), width) % np.uint64(shares)).astype(np.int64)
+
+
 _PIECE = pa.schema(
     [("h", pa.int64()), ("p", pa.int64()), ("q", pa.int64()), ("n", pa.int32()), ("piece", pa.binary()), ("_a", pa.int64()), ("_b", pa.int32()), ("at", pa.int32())]
 )
@@ -110,7 +122,7 @@ def _cut_pieces(wanted: DataFrame, length: int, hot: int) -> DataFrame:
             for i, _, data, offsets in text_chunks(batch.column(2)):
                 row, first, last, key = pieces(data, offsets, length)
                 bounds = np.searchsorted(row, np.arange(len(offsets)))
-                windows = None
+                prefix = None
                 for r in range(len(offsets) - 1):
                     x, y = bounds[r], bounds[r + 1]
                     if x == y:
@@ -125,11 +137,9 @@ def _cut_pieces(wanted: DataFrame, length: int, hot: int) -> DataFrame:
                         if n <= hot:
                             parts = [(h, s, e)]
                         else:
-                            if windows is None:
+                            if prefix is None:
                                 prefix = prefix_hashes(data)
-                                start = np.arange(len(data) - length + 1)
-                                windows = span_hashes(prefix, start, start + length)
-                            share = (windows[s : e + 1] % np.uint64(-(-n // hot))).astype(np.int64)
+                            share = _shares(prefix, s, e, length, -(-n // hot))
                             cuts = np.flatnonzero(np.r_[True, share[1:] != share[:-1], True]).tolist()
                             parts = [
                                 (int(mix(np.array([h], np.int64).view(np.uint64) + np.uint64(1 + share[c]))[0].view(np.int64)), s + c, s + d - 1)
