@@ -103,12 +103,12 @@ def _shares(prefix: np.ndarray, first: int, last: int, length: int, shares: int)
 
 
 _PIECE = pa.schema(
-    [("h", pa.int64()), ("p", pa.int64()), ("q", pa.int64()), ("n", pa.int32()), ("piece", pa.binary()), ("_a", pa.int64()), ("_b", pa.int32()), ("at", pa.int32())]
+    [("h", pa.int64()), ("p", pa.int64()), ("q", pa.int64()), ("n", pa.int32()), ("piece", pa.binary()), ("_a", pa.int64()), ("_b", pa.int32()), ("at", pa.list_(pa.int32()))]
 )
 
 
 def _cut_pieces(wanted: DataFrame, length: int, hot: int) -> DataFrame:
-    """The pieces of the hashes listed for each row: h, (p, q) naming its bytes, n, piece, _a, _b, at.
+    """The pieces of the hashes listed for each row: h, (p, q) naming its bytes, n, piece, _a, _b, and at, where it stands in the row.
 
     Of equal pieces in a batch the first holds the bytes and their number n; the others have none.
     """
@@ -132,6 +132,7 @@ def _cut_pieces(wanted: DataFrame, length: int, hot: int) -> DataFrame:
                     by = np.argsort(listed)
                     at = by[np.minimum(np.searchsorted(listed[by], key[x:y]), len(by) - 1)]
                     hit = np.flatnonzero(listed[at] == key[x:y])
+                    own: dict[tuple[int, int], list[int]] = {}
                     for k in hit.tolist():
                         h, s, e, n = int(key[x + k].view(np.int64)), int(first[x + k]), int(last[x + k]), int(counts[at[k]])
                         if n <= hot:
@@ -155,11 +156,15 @@ def _cut_pieces(wanted: DataFrame, length: int, hot: int) -> DataFrame:
                             else:
                                 out[3][known_at] += 1
                                 body = None
-                            for column, value in zip(out, (h, p, q, 1, body, a[i + r], b[i + r], s - int(offsets[r]))):
+                            if (p, q) in own:
+                                own[p, q].append(s - int(offsets[r]))
+                                continue
+                            own[p, q] = [s - int(offsets[r])]
+                            for column, value in zip(out, (h, p, q, 1, body, a[i + r], b[i + r], own[p, q])):
                                 column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PIECE)], schema=_PIECE)
 
-    return wanted.mapInArrow(task, "h long, p long, q long, n int, piece binary, _a long, _b int, at int")
+    return wanted.mapInArrow(task, "h long, p long, q long, n int, piece binary, _a long, _b int, at array<int>")
 
 
 def repeated_windows(texts: list[bytes], copies: list[int], length: int) -> list[np.ndarray]:
@@ -248,11 +253,15 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, hot: int = HOT_PI
     listed = materialize(listed.select("_a", "_b", F.col("x.h").alias("hs"), F.col("x.n").alias("ns")), "repeated-hashes")
     texts = _only(keyed, listed).join(listed, ["_a", "_b"]).select("_a", "_b", "_text", "hs", "ns")
     cut = materialize(_cut_pieces(texts, length, hot), "pieces")
+
+    def moved(at):
+        return F.transform(F.arrays_zip("from", "to"), lambda x: F.struct((x["from"] + at).alias("s"), (x["to"] + at).alias("e")))
+
     found = _sorted_spans(cut.filter("piece is not null").select("h", "p", "q", "n", "piece"), length, sort_bytes)
     return (
         cut.select("p", "q", "_a", "_b", "at")
         .join(found, ["p", "q"])
-        .select("_a", "_b", F.transform(F.arrays_zip("from", "to"), lambda x: F.struct((x["from"] + F.col("at")).alias("s"), (x["to"] + F.col("at")).alias("e"))).alias("x"))
+        .select("_a", "_b", F.flatten(F.transform("at", moved)).alias("x"))
         .groupBy("_a", "_b")
         .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("x")))).alias("spans"))
     )
