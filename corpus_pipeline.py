@@ -14,6 +14,8 @@ from shelfwise.session import materialize
 
 #: A source is used this often at most, and at least once, so no document is lost in mixing.
 MAX_REPEATS = 2.0
+#: Texts whose shingle sets agree by so much are near-duplicates in this stage; op1 asks for more.
+NEAR_PERCENT = 80
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -32,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share an id are one document, so one of them stays; the one with the longest text,
     then the last in the order of the other columns. Rows without an id stay.
     """
-    found = materialize(near_duplicates(docs), "near-duplicates")
+    found = materialize(near_duplicates(docs, percent=NEAR_PERCENT), "near-duplicates")
     dropped = found.filter("not kept").select("doc_id").distinct()
     docs = without_ids(docs, "doc_id", materialize(dropped, "dropped"))
     if found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():

@@ -13,6 +13,7 @@ import corpus_pipeline
 from shelfwise.llm import chat, fingerprints, lengths, mixing, pieces, quality, training_order
 from shelfwise.llm.queries import QUERIES
 from shelfwise.llm.tokens import Encoder
+from test_pair_operators import brute_components, words
 
 TABLES = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, k string, bucket string"
@@ -236,6 +237,7 @@ def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
     names = docs.columns
     seen = {}
+    kept = near = None
     for name, stage in corpus_pipeline.STAGES:
         before = docs
         docs = corpus_pipeline.materialize(stage(spark, docs, TABLES), "test-stage")
@@ -244,13 +246,26 @@ def test_pipeline_stages(spark):
         if name == "suffix-array dedup":
             assert seen[name] == before.count()
             assert all(r.n_chars == len(r.text) for r in docs.select("text", "n_chars").collect())
+        if name == "MinHash near-dedup":
+            near = brute_components([(r.doc_id, r.text) for r in before.collect()], 80)
+            near, kept = {i for i, c in near.items() if i == c}, {r.doc_id for r in docs.collect()}
         if name == "source mixing":
             assert {r.doc_id for r in docs.select("doc_id").collect()} == {r.doc_id for r in before.select("doc_id").collect()}
-    kept = near = None
-    assert seen["quality classifier"] < 200 and seen["MinHash near-dedup"] < seen["quality classifier"] and kept is near
+    assert seen["quality classifier"] < 200 and seen["MinHash near-dedup"] < seen["quality classifier"] and kept == near
     assert docs.filter("n_chars > 0 and n_pieces = 0").count() == 0
 
 
+def test_near_dedup_stage_links_from_80_percent(spark):
+    texts = []
+    for k, more in enumerate([0, 10, 15, 18, 19, 20, 21, 22]):  # 80 shared of 80 + more shingles: 20 is just 0.80
+        base = words(100 + k, 84)
+        texts += [" ".join(base), " ".join(base + words(200 + k, more))]
+    near = brute_components(list(enumerate(texts)), 80)
+    assert len(set(near.values())) < len(set(brute_components(list(enumerate(texts)), 85).values()))
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, frame(spark, texts), None).collect()}
+    assert kept == {i for i, c in near.items() if i == c} == {0, 2, 4, 6, 8, 10, 12, 13, 14, 15}
+
+
 def test_pipeline_on_odd_rows(spark, tmp_path):
     frame(spark, ODD + [None], [*range(10), 3, None]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
