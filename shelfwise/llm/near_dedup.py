@@ -40,6 +40,8 @@ MISS = 1e-6
 LIST_BLOCK = 1024
 #: Shingles of all members of a block in the exact comparison.
 SET_BLOCK = 1 << 19
+#: Members of a block in the exact comparison, however short: a task holds matrices of twice as many rows and columns.
+MEMBER_BLOCK = 1024
 
 _SIGNATURES = "doc_id long, n_shingles long, set_key binary, signature array<int>"
 
@@ -178,16 +180,21 @@ def similar_pairs(sets: list[np.ndarray], percent: int, columns: int = 4096) ->
     return np.nonzero(np.triu(100 * common >= percent * union, 1))
 
 
-def _exact_links(documents: DataFrame, members: DataFrame, percent: int, width: int, block: int) -> DataFrame:
+def _exact_links(documents: DataFrame, members: DataFrame, percent: int, width: int, block: int, most: int) -> DataFrame:
     """Pairs (a, b) that connect all members of a group whose full sets are similar enough.
 
-    members: c (a doc_id), n_shingles, g (the group).
+    members: c (a doc_id), n_shingles, g (the group). A block has about ``block`` shingles and
+    ``most`` members at the most.
     """
     step = math.log(100 / percent)  # sets whose sizes lie further apart than this factor can't be similar
     cells = members.withColumn("s", F.floor(F.log("n_shingles") / step).cast("int"))
-    blocks = cells.groupBy("g", "s").agg(F.sum("n_shingles").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    blocks = (
+        cells.groupBy("g", "s")
+        .agg(F.sum("n_shingles").alias("n"), F.count(F.lit(1)).alias("members"))
+        .withColumn("blocks", F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("members") / most)).cast("int"))
+    )
     of_group = blocks.groupBy("g").agg(
-        (F.sum("n") <= block).alias("small"), F.map_from_entries(F.collect_list(F.struct("s", "blocks"))).alias("blocks")
+        ((F.sum("n") <= block) & (F.sum("members") <= most)).alias("small"), F.map_from_entries(F.collect_list(F.struct("s", "blocks"))).alias("blocks")
     )
 
     def meeting(neighbour: int):
@@ -255,6 +262,7 @@ def near_duplicates(
     width: int = SHINGLE_WORDS,
     list_block: int = LIST_BLOCK,
     set_block: int = SET_BLOCK,
+    member_block: int = MEMBER_BLOCK,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``documents`` (doc_id, text; others unused).
 
@@ -277,7 +285,7 @@ def near_duplicates(
     members = classes.groupBy("c").agg(F.max("n_shingles").alias("n_shingles")).join(
         groups_.select(F.col("node").alias("c"), F.col("component").alias("g")), "c"
     )
-    links = _exact_links(documents, materialize(members, "members"), percent, width, set_block)
+    links = _exact_links(documents, materialize(members, "members"), percent, width, set_block, member_block)
     several = same_row.groupBy("doc_id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a < b")
     joined = connected_components(links.union(several.select("a", "b")).union(several.select("doc_id", "b")).union(several.select("doc_id", "a")))
     named = classes.select("set_key", "c").join(joined.withColumnRenamed("node", "c"), "c", "left")

@@ -10,7 +10,7 @@ import pytest
 
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.idsets import without_ids
-from shelfwise.llm.near_dedup import matches_needed, near_duplicates
+from shelfwise.llm.near_dedup import _exact_links, matches_needed, near_duplicates
 from shelfwise.llm.nearest import nearest
 from shelfwise.llm.repeats import repeat_report, repeated_windows, without_repeats
 from shelfwise.llm.suffixes import adjacent_prefixes, eight_bytes, two_stage_order
@@ -80,6 +80,21 @@ def test_near_duplicates(spark, list_block, set_block):
         assert r.kept == (r.doc_id is None or r.doc_id == r.component_id)
 
 
+def test_blocks_of_short_texts_are_bounded_by_members(spark):
+    base = words(11, 20)  # one word varies at the end, so the texts share 15 of 17 shingles
+    rows = [(i, " ".join(base[:19] + [f"v{i}"])) for i in range(300)]
+    members = spark.createDataFrame([(i, 16, 0) for i in range(300)], "c long, n_shingles long, g long")
+    sent = {}
+    for most in (1024, 32):
+        links = _exact_links(frame(spark, rows), members, 85, 5, 1 << 19, most)
+        sent[most] = links.collect()
+        assert {r.component for r in connected_components(links).collect()} == {0}
+    # a block of k members returns k - 1 links: one block of all, or many of about 32 that meet pairwise
+    assert len(sent[1024]) == 299 and len(sent[32]) > 299
+    found = near_duplicates(frame(spark, rows), member_block=32).collect()
+    assert len(found) == 300 and {r.component_id for r in found} == {0}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(frame(spark, [])).collect() == []
     assert [r.kept for r in near_duplicates(frame(spark, [(1, None)])).collect()] == [True]
