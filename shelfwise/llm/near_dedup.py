@@ -70,6 +70,10 @@ def minhash(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     return made
 
 
+def _set_key(elements: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest() if len(elements) else None
+
+
 def signatures(documents: DataFrame, coordinates: int = COORDINATES, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles, set_key (digest of the set) and signature; the last two null without words."""
 
@@ -83,7 +87,7 @@ def signatures(documents: DataFrame, coordinates: int = COORDINATES, width: int
                     [
                         batch.column(0).slice(i, j - i).cast(pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                        pa.array([_set_key(s) for s in sets], pa.binary()),
                         pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int32())),
                     ],
                     names=["doc_id", "n_shingles", "set_key", "signature"],
@@ -183,7 +187,7 @@ def similar_pairs(sets: list[np.ndarray], percent: int, columns: int = 4096) ->
 def _exact_links(documents: DataFrame, members: DataFrame, percent: int, width: int, block: int, most: int) -> DataFrame:
     """Pairs (a, b) that connect all members of a group whose full sets are similar enough.
 
-    members: c (a doc_id), n_shingles, g (the group). A block has about ``block`` shingles and
+    members: c (a doc_id) and set_key (one of its sets), n_shingles, g (the group). A block has about ``block`` shingles and
     ``most`` members at the most.
     """
     step = math.log(100 / percent)  # sets whose sizes lie further apart than this factor can't be similar
@@ -213,10 +217,16 @@ def _exact_links(documents: DataFrame, members: DataFrame, percent: int, width:
     whole = F.array(F.struct(F.lit(-1).alias("s"), F.lit(0).alias("up"), F.lit(0).alias("x"), F.lit(0).alias("y")))
     placed = (
         cells.join(of_group, "g")
-        .withColumn("own", F.pmod(F.xxhash64("c"), F.coalesce(F.try_element_at("blocks", "s"), F.lit(1))).cast("int"))
-        .select("c", "g", F.when(F.col("small"), whole).otherwise(F.concat(meeting(0), meeting(1), meeting(-1))).alias("meets"))
+        .withColumn("own", F.pmod(F.xxhash64("set_key"), F.coalesce(F.try_element_at("blocks", "s"), F.lit(1))).cast("int"))
+        .select("c", "set_key", "g", F.when(F.col("small"), whole).otherwise(F.concat(meeting(0), meeting(1), meeting(-1))).alias("meets"))
     )
 
+    def with_key(batches):
+        for batch in batches:
+            for i, j, data, offsets in text_chunks(batch.column(1)):
+                keys = [_set_key(s) for s in shingles(data, offsets, width)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(keys, pa.binary()), batch.column(1).slice(i, j - i)], names=["c", "set_key", "text"])
+
     def to_sets(batches):
         schema = pa.schema([("g", pa.int64()), ("s", pa.int32()), ("up", pa.int32()), ("x", pa.int32()), ("y", pa.int32()), ("c", pa.int64()), ("elements", pa.binary())])
         for batch in batches:
@@ -244,9 +254,11 @@ def _exact_links(documents: DataFrame, members: DataFrame, percent: int, width:
 
     keys = ["g", "s", "up", "x", "y"]
     text = documents.select(F.col("doc_id").cast("long").alias("c"), "text")
-    text = mark_possible(text, "c", members.select("c")).filter("possible").drop("possible")
+    text = mark_possible(text, "c", members.select("c")).filter("possible").select("c", "text")
+    # an id may have several texts, and a text several rows: one text for each set of an id
+    text = text.mapInArrow(with_key, "c long, set_key binary, text string").groupBy("c", "set_key").agg(F.min("text").alias("text"))
     return (
-        placed.join(text, "c")
+        placed.join(text, ["c", "set_key"])
         .select("c", "g", "meets", "text")
         .mapInArrow(to_sets, "g long, s int, up int, x int, y int, c long, elements binary")
         .repartition(*map(F.col, keys))
@@ -282,12 +294,13 @@ def near_duplicates(
     same_row = signed.filter("set_key is not null").select("doc_id", "set_key").join(classes.select("set_key", "c"), "set_key")
     needed = matches_needed(coordinates, percent)
     groups_ = connected_components(_candidate_links(classes, coordinates, needed, list_block))
-    members = classes.groupBy("c").agg(F.max("n_shingles").alias("n_shingles")).join(
+    members = classes.select("c", "set_key", "n_shingles").join(
         groups_.select(F.col("node").alias("c"), F.col("component").alias("g")), "c"
     )
     links = _exact_links(documents, materialize(members, "members"), percent, width, set_block, member_block)
-    several = same_row.groupBy("doc_id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a < b")
-    joined = connected_components(links.union(several.select("a", "b")).union(several.select("doc_id", "b")).union(several.select("doc_id", "a")))
+    several = same_row.groupBy("doc_id").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a < b").select("doc_id")
+    ties = same_row.join(several, "doc_id", "left_semi").select("doc_id", "c").filter("c <> doc_id").distinct()
+    joined = connected_components(links.union(ties))
     named = classes.select("set_key", "c").join(joined.withColumnRenamed("node", "c"), "c", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return signed.select("doc_id", "n_shingles", "set_key").join(

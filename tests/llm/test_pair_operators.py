@@ -7,10 +7,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.idsets import without_ids
-from shelfwise.llm.near_dedup import _exact_links, matches_needed, near_duplicates
+from shelfwise.llm.near_dedup import _exact_links, matches_needed, near_duplicates, signatures
 from shelfwise.llm.nearest import nearest
 from shelfwise.llm.repeats import repeat_report, repeated_windows, without_repeats
 from shelfwise.llm.suffixes import adjacent_prefixes, eight_bytes, two_stage_order
@@ -83,7 +84,8 @@ def test_near_duplicates(spark, list_block, set_block):
 def test_blocks_of_short_texts_are_bounded_by_members(spark):
     base = words(11, 20)  # one word varies at the end, so the texts share 15 of 17 shingles
     rows = [(i, " ".join(base[:19] + [f"v{i}"])) for i in range(300)]
-    members = spark.createDataFrame([(i, 16, 0) for i in range(300)], "c long, n_shingles long, g long")
+    keys = signatures(frame(spark, rows)).select(F.col("doc_id").alias("c"), "set_key", "n_shingles", F.lit(0).cast("long").alias("g"))
+    members = spark.createDataFrame(keys.collect(), keys.schema)
     sent = {}
     for most in (1024, 32):
         links = _exact_links(frame(spark, rows), members, 85, 5, 1 << 19, most)
@@ -95,6 +97,21 @@ def test_blocks_of_short_texts_are_bounded_by_members(spark):
     assert len(found) == 300 and {r.component_id for r in found} == {0}
 
 
+def test_all_texts_of_one_id_are_linked(spark):
+    a, b, d, long = (words(s, n) for s, n in ((21, 40), (22, 40), (23, 40), (24, 400)))
+    near = lambda text, k: " ".join([*text[:-1], f"end{k}"])
+    rows = [(1, " ".join(a)), (3, " ".join(b)), (4, " ".join(d))]
+    rows += [(5, " ".join(x)) for x in (a, b, d)] + [(5, "own words of the id five")]  # classes 1, 3, 4 and its own
+    short = words(25, 40)
+    rows += [(20, " ".join(long)), (20, near(short, 0))] + [(21 + k, near(short, 1 + k)) for k in range(3)]
+    rows += [(30 + k, near(long, k)) for k in range(3)]  # one id with a short and a long text, both with near copies
+    expected = brute_components(rows)
+    assert {expected[i] for i in (1, 3, 4, 5)} == {1} and {expected[i] for i in (20, 21, 22, 23, 30, 31, 32)} == {20}
+    for blocks in ({}, {"set_block": 50, "member_block": 2}):
+        found = near_duplicates(frame(spark, rows), **blocks).collect()
+        assert len(found) == len(rows) and {(r.doc_id, r.component_id) for r in found} == set(expected.items())
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(frame(spark, [])).collect() == []
     assert [r.kept for r in near_duplicates(frame(spark, [(1, None)])).collect()] == [True]
