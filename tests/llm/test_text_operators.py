@@ -108,6 +108,17 @@ def test_quality_ranks_held_out_documents(spark):
     assert quality.score(frame(spark, []), labels).collect() == []
 
 
+def test_labelled_rows_are_bounded_by_ids(spark):
+    texts = [f"text number {i} " * (1 + i % 3) for i in range(60)]
+    ids = [1] * 40 + list(range(2, 22))  # one labelled id has two thirds of all rows
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 22)], "doc_id long, quality int, toxic int")
+    df = frame(spark, texts, ids)
+    x, good = quality.labelled_features(df, labels, 10)
+    assert len(x) == len(good) == 10
+    again, _ = quality.labelled_features(df.repartition(3), labels, 10)
+    assert (x == again).all()
+
+
 def test_pieces_are_lossless_and_repeatable(spark):
     df = frame(spark, ODD).union(frame(spark, ["x y"], [None]))
     encoded = pieces.encode(df, seed=4)
