@@ -183,6 +183,18 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.format_conversations(df.limit(0))).collect() == []
 
 
+def test_read_back_takes_the_examples(spark, monkeypatch):
+    rows = [(c, t, ["user", "assistant"][t % 2], f"turn {c} {t}") for c in (1, None) for t in range(6)]
+    formatted = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    made = chat.prefix_targets
+    whole = {r.conv_id: r for r in chat.read_back(formatted).collect()}
+    assert {r.n_examples for r in whole.values()} == {3}
+    monkeypatch.setattr(chat, "prefix_targets", lambda f, role="assistant": made(f, role).filter("example <> 3").withColumn("loss_end", chat.F.col("loss_end") - 1))
+    for r in chat.read_back(formatted).collect():  # what the expansion leaves out is not under the mask
+        assert r.n_examples == 2 and r.loss_chars == 2 * (whole[r.conv_id].loss_chars // 3 - 1)
+        assert r.turns_sha256 == whole[r.conv_id].turns_sha256
+
+
 def test_escape_is_reversible():
     draw = random.Random(2)
     for _ in range(3000):
