@@ -51,11 +51,18 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture uses it."""
-    used = mix_sources(docs, max_repeats=MAX_REPEATS, cover=True)
-    again = materialize(used.filter("copies > 1").select(F.col("doc_id").alias("_id"), F.xxhash64("source").alias("_source"), "copies").distinct(), "copies")
+    used = mix_sources(docs, max_repeats=MAX_REPEATS, cover=True, text_key=True)
+    # equal rows (id, source and text) are repeated together: one of them as often as all of them are to be
+    again = used.groupBy(F.col("doc_id").alias("_id"), F.xxhash64("source").alias("_source"), F.col("text_key").alias("_text")).agg(
+        F.sum(F.col("copies") - 1).alias("_more"), F.count(F.lit(1)).alias("_rows")
+    )
+    again = materialize(again.filter("_more > 0"), "copies")
     source = F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("")))
-    repeated = docs.join(again, (F.col("doc_id") == F.col("_id")) & (source == F.col("_source")))
-    extra = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(2), F.col("copies"))))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (source == F.col("_source")) & (F.xxhash64("text") == F.col("_text"))
+    repeated = docs.join(again, same)
+    if again.filter("_rows > 1").limit(1).count():
+        repeated = repeated.dropDuplicates(["_id", "_source", "_text"])
+    extra = repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_more"))))
     return _documents(docs).union(_documents(extra))
 
 

@@ -114,19 +114,23 @@ def mix_sources(
     cover: bool = False,
     seed: int = 0,
     blocks: int = BLOCKS,
+    text_key: bool = False,
 ) -> DataFrame:
     """doc_id, source, tokens, copies: how often the mixture uses each row of ``documents`` (doc_id, source, text).
 
     tokens: tokens of a row, by default its words. A null source is a source of its own, named by
     the empty text like the empty one. Rows without tokens cost nothing and are used as often as
     their source is used in full, once at least. A source takes no more than its quota, and less by
-    less than one document.
+    less than one document. ``text_key`` adds a column of that name, a hash of the text, by which the
+    rows of one doc_id can be told apart.
     """
     draw = F.xxhash64(F.lit(seed), "doc_id", "tokens")
+    key = ["text_key"] if text_key else []
     rows = documents.select(
         "doc_id",
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.coalesce(tokens if tokens is not None else word_count(F.col("text")), F.lit(0)).cast("long").alias("tokens"),
+        *(F.xxhash64("text").alias(k) for k in key),
     ).withColumn("draw", draw)
     rows = materialize(rows.withColumn("block", F.pmod("draw", F.lit(blocks)).cast("int")), "tokens")
     sums = materialize(rows.groupBy("source", "block").agg(F.sum("tokens").alias("block_tokens")), "blocks")
@@ -153,5 +157,6 @@ def mix_sources(
             F.when(F.col("tokens") == 0, F.greatest("full", F.lit(1)))
             .otherwise(F.col("full") + (F.col("running") <= F.col("left")).cast("int"))
             .alias("copies"),
+            *key,
         )
     )

@@ -247,6 +247,19 @@ def test_mixture(spark):
     assert mixing.mix_sources(df.limit(0), max_repeats=2, cover=True).collect() == []
 
 
+def test_mix_stage_repeats_the_rows_decided(spark):
+    rows = [(i, f"big words {i} " * 20, "big") for i in range(60)] + [(None, f"small words {i} " * 4, "small") for i in range(12)]
+    rows += [(500, f"one id, other texts {i} " * (1 + i), "small") for i in range(6)] + [(600, "equal rows " * 3, "small")] * 5
+    df = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    expected = Counter()
+    for r in mixing.mix_sources(df, max_repeats=corpus_pipeline.MAX_REPEATS, cover=True, text_key=True).collect():
+        expected[r.doc_id, r.source, r.text_key] += r.copies
+    assert sum(n for (i, _, _), n in expected.items() if i is None) > 12
+    mixed = corpus_pipeline.mix(spark, df, None)
+    got = mixed.groupBy("doc_id", "source", corpus_pipeline.F.xxhash64("text").alias("k")).count().collect()
+    assert {(r.doc_id, r.source, r.k): r["count"] for r in got} == dict(expected)
+
+
 def test_word_count(spark):
     texts = ["", None, " ", "a", " a  b\tc\n", "é x y"]
     df = frame(spark, texts)
