@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.alignment import align
 from shelfwise.llm.chat import format_conversations, read_back
 from shelfwise.llm.fingerprints import edited_fingerprints
 from shelfwise.llm.lengths import length_histogram, with_suffix_sums
@@ -16,6 +17,7 @@ from shelfwise.llm.pieces import encode, with_decoded_digest
 from shelfwise.llm.quality import score
 from shelfwise.llm.repeats import repeat_report
 from shelfwise.llm.training_order import read_shards, write_shards
+from shelfwise.llm.trie import prefix_trie
 from shelfwise.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +96,15 @@ def op8_token_counts(spark, sf_dir):
 def op9_nearest(spark, sf_dir):
     """The 20 nearest neighbours of every 20th vector among all vectors."""
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    """How the tokens of two tokenizers lie on each other in all documents."""
+    return align(table(spark, sf_dir, "documents"))
