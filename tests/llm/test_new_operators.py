@@ -10,7 +10,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from shelfwise.checks import run
 from shelfwise.llm.alignment import Tokenizers, align
+from shelfwise.llm.ngram_join import Order, ngram_components, prefix_length
+from shelfwise.llm.queries import ORACLES, QUERIES
 from shelfwise.llm.trie import DoubleArray, prefix_trie
 
 CHAT = "conv_id long, turn long, role string, text string, key string, depth int, weight string"
@@ -155,3 +158,112 @@ def test_alignment_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(alignment, "ENCODE_CHARS", 10)
     batches = list(blocks.batches(Tokenizers.load()))
     assert [tuple(c[k].as_py() for c in batches[1].columns[3:8]) for k in range(60)] == [(r[0], r[1], r[2], r[3], r[6]) for r in brute_alignment(texts)]
+
+
+WIDE = "doc_id long, text string, k long, n long, prefix string, cells string, possible string, _bucket int, token string"
+
+
+def wide(spark, rows):
+    return spark.createDataFrame([(i, t, 1, 2, "clash", "clash", "clash", 3, "clash") for i, t in rows], WIDE)
+
+
+def grams(text):
+    parts = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(parts[i : i + 4]) for i in range(max(1, len(parts) - 3))} if parts else set()
+
+
+def brute_grams(rows, percent=85):
+    """(doc_id, n_shingles, component_id); rows that share an id are one document."""
+    ids = {i for i, _ in rows if i is not None}
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = [(i, grams(t)) for i, t in rows if i is not None]
+    sets = [(i, s) for i, s in sets if s]
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[n + 1 :]:
+            if 100 * len(a & b) >= percent * len(a | b):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return sorted(((i, len(grams(t)), find(i) if i is not None else None) for i, t in rows), key=repr)
+
+
+def gram_corpus():
+    draw = random.Random(12)
+    said = lambda n, pool=4000: [f"w{draw.randrange(pool)}" for _ in range(n)]
+    rows = []
+    for group in range(4):  # copies that drift apart, so that many are linked only by way of others
+        text = said(150)
+        for i in range(25):
+            rows.append((100 * group + i, " ".join(text)))
+            text = list(text)
+            text[draw.randrange(150)] = f"x{group}_{i}"
+    passage = said(60)  # in many texts that aren't alike, of which some are
+    for i in range(40):
+        own = said(random.Random(i // 2).randrange(20, 90))
+        rows.append((1000 + i, " ".join(own + passage)))
+        rows.append((1100 + i, " ".join([*own, *passage, "tail"])))
+    edge = said(80)  # similarities close to the threshold on both sides
+    for i in range(12):
+        rows.append((2000 + i, " ".join(edge[: 80 - i] + [f"e{i}_{k}" for k in range(i)])))
+    rows += [(3000, None), (3001, ""), (3002, " \n\t"), (3003, "two words"), (3004, "Two  WORDS"), (3005, "é É x"), (3006, "É é x"), (3003, "two words"), (None, "two words"), (None, None)]
+    rows += [(3100, " ".join(said(30_000, 50_000)))]
+    rows += [(3101, rows[-1][1] + " more"), (3200, " ".join(edge[:70])), (3200, ""), (3200, rows[0][1]), (3201, rows[30][1]), (3201, rows[60][1])]
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block,slot_bits", [(1024, 20), (3, 8)])
+def test_ngram_components(spark, block, slot_bits):
+    rows = gram_corpus()
+    found = ngram_components(wide(spark, rows), block=block, slot_bits=slot_bits).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == brute_grams(rows)
+
+
+def test_ngram_components_of_little(spark):
+    assert ngram_components(wide(spark, [])).collect() == []
+    assert [tuple(r) for r in ngram_components(wide(spark, [(1, None)])).collect()] == [(1, 0, 1)]
+    assert sorted(map(tuple, ngram_components(wide(spark, [(5, "a b"), (4, "A B")])).collect())) == [(4, 1, 4), (5, 1, 4)]
+
+
+def test_mixed_lists_are_searched_in_full(spark):
+    """No star: pairs of different components come from the lists alone, spanning and all of them."""
+    from shelfwise.llm import ngram_join
+
+    draw = random.Random(4)
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join(w if draw.random() > 0.02 else f"v{i}_{n}" for n, w in enumerate(base))) for i in range(60)]
+    expected = brute_grams(rows)
+    stars = ngram_join._stars
+    try:
+        ngram_join._stars = lambda lists: stars(lists).filter("false")
+        found = ngram_components(wide(spark, rows), block=7).collect()
+    finally:
+        ngram_join._stars = stars
+    assert sorted((tuple(r) for r in found), key=repr) == expected
+
+
+def test_fragments_hold_each_ngram_once():
+    draw = np.random.default_rng(1)
+    elements = np.unique(draw.integers(0, 2**64, 5000, dtype=np.uint64))
+    order = Order(draw.integers(0, 9, 1 << 10).astype(np.uint8), 8)
+    segments = dict(order.segments(elements))
+    assert len(segments) == 8 and np.array_equal(np.sort(np.concatenate(list(segments.values()))), elements)
+    counted = [np.exp2(order.table[order.fragment_of == f]).sum() for f in range(8)]
+    assert max(counted) < 1.5 * min(counted)
+    ranks = [(int(order.ranks(np.array([e]))[0]), int(e)) for e in elements]
+    assert [int(e) for e in order.prefix(elements, 40)] == [e for _, e in sorted(ranks)[:40]]
+    assert [prefix_length(n, 85) for n in (1, 6, 7, 100)] == [1, 1, 2, 16]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_against_sql(spark, tables, name):
+    con = run.connect(tables)
+    expected = con.execute(ORACLES[name]).fetchall()
+    found = QUERIES[name](spark, tables)
+    assert [c[0] for c in con.description] == found.columns
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
