@@ -196,8 +196,8 @@ class _Block:
         self.texts.append(np.array([new(u, len(places)) for u in _UNITS.split(text)] if text else [], np.int32))
         self.bytes += len(text or "")
 
-    def full(self) -> bool:
-        return self.bytes >= BLOCK_BYTES or len(self.places) >= BLOCK_UNITS
+    def full(self, block_bytes: int = BLOCK_BYTES) -> bool:
+        return self.bytes >= block_bytes or len(self.places) >= BLOCK_UNITS
 
     def batches(self, tokenizers: Tokenizers) -> Iterator[pa.RecordBatch]:
         known = Aligned(tokenizers, list(self.places))
@@ -222,7 +222,7 @@ class _Block:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _STORED)], schema=_STORED)
 
 
-def aligned_blocks(documents: DataFrame, byte_file: str = BYTE_FILE, piece_file: str = PIECE_FILE) -> DataFrame:
+def aligned_blocks(documents: DataFrame, byte_file: str = BYTE_FILE, piece_file: str = PIECE_FILE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Texts by block with the units they are made of, and one row for each block with the pairs of its units."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,8 +232,8 @@ def aligned_blocks(documents: DataFrame, byte_file: str = BYTE_FILE, piece_file:
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(doc_id, text.as_py())
-                if block.full():
-                    yield from block.batches()
+                if block.full(block_bytes):
+                    yield from block.batches(tokenizers)
                     number += 1
                     block = _Block(number)
         if block.ids:
@@ -276,7 +276,7 @@ def pair_counts(blocks_of_pairs: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(top), F.shiftright("pair", 16) == F.col("b")).select("pair", "count", (F.col("count") == F.col("top")).alias("best"))
 
 
-def align(documents: DataFrame, byte_file: str = BYTE_FILE, piece_file: str = PIECE_FILE) -> DataFrame:
+def align(documents: DataFrame, byte_file: str = BYTE_FILE, piece_file: str = PIECE_FILE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for each row of ``documents`` (doc_id, text).
 
     Null and empty texts, and texts that the bytes of one tokenizer's tokens don't give back (one that
@@ -285,7 +285,7 @@ def align(documents: DataFrame, byte_file: str = BYTE_FILE, piece_file: str = PI
     are not read. A text of any length is read whole; it needs memory in proportion to its tokens, and
     an empty table gives no rows.
     """
-    blocks = materialize(aligned_blocks(documents, byte_file, piece_file), "aligned")
+    blocks = materialize(aligned_blocks(documents, byte_file, piece_file, block_bytes), "aligned")
     pairs = materialize(_block_pairs(blocks), "block-pairs")
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in blocks.schema.fields if f.name not in ("block", "kind")]
     counted = pairs.select("block", "pair").join(pair_counts(pairs), "pair").select("block", F.lit(0).alias("kind"), *empty, "pair", "count", "best")
