@@ -11,7 +11,7 @@ hash. The order is cut into fragments, and a text's set into its segments in the
    of its lists have in common. Then, in the lists that still hold several components, pairs of different
    ones, as many as connect all that may be linked; last, if one of those was no link, all that are left.
    A pair is left out only where it can't be a link: by size, or because the sizes of the sets in
-   ``CELLS`` ranges of hashes, taken range by range, don't allow the overlap.
+   ranges of hashes, taken range by range, don't allow the overlap.
 """
 
 from __future__ import annotations
@@ -35,10 +35,13 @@ SIMILARITY_PERCENT = 85
 #: Fragments of the global order.
 FRAGMENTS = 8
 #: Slots of the table of counts, as a power of two: it is broadcast, a byte for each slot, whatever the corpus.
-SLOT_BITS = 20
-_PART_BITS = 15
-#: Ranges of hashes whose sizes bound an overlap from above.
-CELL_BITS = 6
+#: In a corpus with many n-grams to a slot, only those that are much more frequent still stand out; the order stays
+#: one order, and lists are longer.
+SLOT_BITS = 23
+_PART_BITS = 17
+#: Ranges of hashes whose sizes bound an overlap from above, as a power of two. A size is a byte, at most ``FULL``.
+CELL_BITS = 8
+FULL = 255
 #: Members of a block of a list, or of one class's partners.
 BLOCK = 1024
 #: Shingles of a block of one class's partners.
@@ -63,7 +66,7 @@ def _frequency_table(documents: DataFrame, width: int, bits: int) -> np.ndarray:
                     np.add.at(counts, (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64), 1)
                     seen = True
         if seen:
-            counts = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, 1 << part)
+            counts = np.minimum(counts, 255).astype(np.uint8).reshape(-1, 1 << part)
             for i, row in enumerate(counts):
                 if row.any():
                     yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([row.tobytes()], pa.binary())], names=["part", "counts"])
@@ -72,7 +75,7 @@ def _frequency_table(documents: DataFrame, width: int, bits: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[i] = sums.get(i, 0) + np.frombuffer(counts.as_buffer(), np.uint16).astype(np.int64)
+                sums[i] = sums.get(i, 0) + np.frombuffer(counts.as_buffer(), np.uint8).astype(np.int64)
         for i, summed in sums.items():
             lengths = np.frexp(summed.astype(np.float64))[1].astype(np.uint8)
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([lengths.tobytes()], pa.binary())], names=["part", "counts"])
@@ -88,13 +91,13 @@ class Order:
     """The global order of n-grams and its fragments."""
 
     def __init__(self, table: np.ndarray, fragments: int):
-        self.table, self.shift = table, np.uint64(64 - int(len(table)).bit_length() + 1)
+        self.table, self.bits = table, int(len(table)).bit_length() - 1
+        self.shift = np.uint64(64 - self.bits)
         # fragments hold about as many n-grams: slots in order, weighted by what they count
         ranked = np.argsort(table, kind="stable")
         weight = np.cumsum(np.exp2(table[ranked].astype(np.float64)) * (table[ranked] > 0))
-        of_rank = np.minimum((weight * fragments / max(weight[-1], 1)).astype(np.int64), fragments - 1)
-        self.fragment_of = np.empty(len(table), np.uint8)
-        self.fragment_of[ranked] = of_rank
+        heads = ranked[np.searchsorted(weight, weight[-1] * np.arange(1, fragments) / fragments)]
+        self.pivots = (table[heads].astype(np.int64) << self.bits) | heads
 
     def ranks(self, elements: np.ndarray) -> np.ndarray:
         """The first part of the order; elements are sorted by hash, the second part."""
@@ -103,9 +106,13 @@ class Order:
     def prefix(self, elements: np.ndarray, length: int) -> np.ndarray:
         return elements[np.argsort(self.ranks(elements), kind="stable")[:length]]
 
+    def fragments(self, elements: np.ndarray) -> np.ndarray:
+        slots = (elements >> self.shift).astype(np.int64)
+        return np.searchsorted(self.pivots, (self.table[slots].astype(np.int64) << self.bits) | slots, "right").astype(np.uint8)
+
     def segments(self, elements: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(fragment, its n-grams by hash) of those that aren't empty."""
-        of = self.fragment_of[(elements >> self.shift).astype(np.int64)]
+        of = self.fragments(elements)
         order = np.argsort(of, kind="stable")
         cuts = np.flatnonzero(np.diff(of[order])) + 1
         for at in np.split(order, cuts):
@@ -119,6 +126,20 @@ def _class_key(elements: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _cells(elements: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((elements >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS), FULL).astype(np.uint8).tobytes()
+
+
+def _allows(x: np.ndarray, y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the overlap of two sets, row by row, can be large enough: range by range it is at most the smaller size.
+
+    Where both sizes are full, they are not known, and the overlap may be anything.
+    """
+    least = np.minimum(x, y)
+    most = least.sum(axis=1, dtype=np.int64)
+    return ((100 + percent) * most >= percent * (n_x + n_y)) | (least.max(axis=1, initial=0) == FULL)
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
@@ -137,12 +158,12 @@ def _prefixes(documents: DataFrame, order, width: int, percent: int) -> DataFram
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_class_key(s) for s in sets], pa.int64()),
                         pa.array([known.prefix(s, prefix_length(len(s), percent)).view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                        pa.array([np.bincount((s >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS).astype(np.int32) if len(s) else None for s in sets], pa.list_(pa.int32())),
+                        pa.array([_cells(s) if len(s) else None for s in sets], pa.binary()),
                     ],
                     names=["doc_id", "n_shingles", "k", "prefix", "cells"],
                 )
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(task, "doc_id long, n_shingles long, k long, prefix array<long>, cells array<int>")
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(task, "doc_id long, n_shingles long, k long, prefix array<long>, cells binary")
 
 
 def _lists(classes: DataFrame, percent: int) -> DataFrame:
@@ -164,9 +185,16 @@ def _stars(lists: DataFrame) -> DataFrame:
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes, range by range, allow the overlap."""
     side = lambda x: classes.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    most = F.aggregate(F.zip_with("cells_a", "cells_b", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-    return both.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+    def task(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (4, 5))
+                fits = _allows(x, y, batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fits)), batch.column(1).filter(pa.array(fits))], names=["a", "b"])
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
+    return both.mapInArrow(task, "a long, b long")
 
 
 def _mixed_pairs(lists: DataFrame, classes: DataFrame, parts: DataFrame, percent: int, block: int, spanning: bool) -> DataFrame:
@@ -193,7 +221,7 @@ def _mixed_pairs(lists: DataFrame, classes: DataFrame, parts: DataFrame, percent
         out = Rows(pa.schema([("a", pa.int64()), ("b", pa.int64())]))
         for group in groups(batches, 3):
             own, k, g, n = (group.column(i).to_numpy() for i in (3, 4, 5, 6))
-            cells = group.column(7).flatten().to_numpy().reshape(len(k), -1)
+            cells = np.frombuffer(b"".join(group.column(7).to_pylist()), np.uint8).reshape(len(k), -1)
             hi = group.column(2)[0].as_py()
             left = np.flatnonzero(own != hi) if group.column(1)[0].as_py() != hi else np.arange(len(k))
             right = np.flatnonzero(own == hi)
@@ -221,10 +249,9 @@ def _may_overlap(left, right, k, g, n, cells, percent: int, rows: int = 64) -> t
         part = left[i : i + rows]
         x, y = np.nonzero((g[part][:, None] != g[right]) & (100 * np.minimum(n[part][:, None], n[right]) >= percent * np.maximum(n[part][:, None], n[right])))
         x, y = part[x], right[y]
-        for j in range(0, len(x), 50_000):
-            a, b = x[j : j + 50_000], y[j : j + 50_000]
-            most = np.minimum(cells[a], cells[b]).sum(axis=1, dtype=np.int64)
-            fits = (100 + percent) * most >= percent * (n[a] + n[b])
+        for j in range(0, len(x), 20_000):
+            a, b = x[j : j + 20_000], y[j : j + 20_000]
+            fits = _allows(cells[a], cells[b], n[a], n[b], percent)
             found_x.append(a[fits])
             found_y.append(b[fits])
     return np.concatenate(found_x), np.concatenate(found_y)

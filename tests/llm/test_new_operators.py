@@ -135,13 +135,14 @@ def brute_alignment(texts):
     ]
 
 
-def test_alignment(spark, tables, monkeypatch):
+def test_alignment(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet").select("text").limit(60).collect()
     texts = ODD + [r.text for r in docs if len(r.text) < 4000]
     ids = [None, *range(5), 5, 5, *range(8, len(texts))]
     df = spark.createDataFrame([(i, t, 1, 2, "clash", "clash") for i, t in zip(ids, texts)], DOCS).repartition(3)
     expected = sorted(((i, *r) for i, r in zip(ids, brute_alignment(texts))), key=repr)
-    assert sorted((tuple(r) for r in align(df).collect()), key=repr) == expected
+    for block_bytes in (20_000_000, 500):
+        assert sorted((tuple(r) for r in align(df, block_bytes=block_bytes).collect()), key=repr) == expected
     assert align(df.filter("false")).collect() == []
     assert [tuple(r) for r in align(df.filter("text = ''")).collect()] == [(0, 0, 0, 0, 0, 0, 0, "")]
 
@@ -149,12 +150,11 @@ def test_alignment(spark, tables, monkeypatch):
 def test_alignment_in_small_blocks(spark, monkeypatch):
     from shelfwise.llm import alignment
 
-    monkeypatch.setattr(alignment, "BLOCK_BYTES", 500)
     texts = [f"word{i % 7} other{i % 5} <|endoftext|> é{i}" for i in range(60)]
     blocks = alignment._Block(0)
     for i, t in enumerate(texts):
         blocks.add(i, t)
-    assert blocks.full()
+    assert blocks.full(500) and not blocks.full()
     monkeypatch.setattr(alignment, "ENCODE_CHARS", 10)
     batches = list(blocks.batches(Tokenizers.load()))
     assert [tuple(c[k].as_py() for c in batches[1].columns[3:8]) for k in range(60)] == [(r[0], r[1], r[2], r[3], r[6]) for r in brute_alignment(texts)]
@@ -217,7 +217,7 @@ def gram_corpus():
     return rows
 
 
-@pytest.mark.parametrize("block,slot_bits", [(1024, 20), (3, 8)])
+@pytest.mark.parametrize("block,slot_bits", [(1024, 23), (3, 8)])
 def test_ngram_components(spark, block, slot_bits):
     rows = gram_corpus()
     found = ngram_components(wide(spark, rows), block=block, slot_bits=slot_bits).collect()
@@ -253,7 +253,8 @@ def test_fragments_hold_each_ngram_once():
     order = Order(draw.integers(0, 9, 1 << 10).astype(np.uint8), 8)
     segments = dict(order.segments(elements))
     assert len(segments) == 8 and np.array_equal(np.sort(np.concatenate(list(segments.values()))), elements)
-    counted = [np.exp2(order.table[order.fragment_of == f]).sum() for f in range(8)]
+    of = order.fragments(np.arange(1 << 10, dtype=np.uint64) << np.uint64(54))  # one element of each slot
+    counted = [(np.exp2(order.table[of == f]) * (order.table[of == f] > 0)).sum() for f in range(8)]
     assert max(counted) < 1.5 * min(counted)
     ranks = [(int(order.ranks(np.array([e]))[0]), int(e)) for e in elements]
     assert [int(e) for e in order.prefix(elements, 40)] == [e for _, e in sorted(ranks)[:40]]
