@@ -39,7 +39,10 @@ def without_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
 
     Only rows that the filter marks take part in the anti-join.
     """
-    marked = mark_possible(df, key, ids)
+    # the columns travel as one, so that no name of theirs is a helper's
+    packed = df.select(F.col(f"`{key}`").alias("_key"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"))
+    marked = mark_possible(packed, "_key", ids)
     named = ids.select(F.col(ids.columns[0]).alias("_id"))
-    unsure = marked.filter("possible").join(named, F.col(key) == F.col("_id"), "left_anti")
-    return marked.filter("not possible").union(unsure).drop("possible")
+    unsure = marked.filter("possible").join(named, F.col("_key") == F.col("_id"), "left_anti")
+    kept = marked.filter("not possible").union(unsure)
+    return kept.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))

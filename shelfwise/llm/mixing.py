@@ -124,13 +124,14 @@ def mix_sources(
     less than one document. ``text_key`` adds a column of that name, a hash of the text, by which the
     rows of one doc_id can be told apart.
     """
-    draw = F.xxhash64(F.lit(seed), "doc_id", "tokens")
+    # rows that share an id and a size are drawn by their text; only rows equal in all of them draw alike
+    draw = F.xxhash64(F.lit(seed), "doc_id", "tokens", "text_hash")
     key = ["text_key"] if text_key else []
     rows = documents.select(
         "doc_id",
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.coalesce(tokens if tokens is not None else word_count(F.col("text")), F.lit(0)).cast("long").alias("tokens"),
-        *(F.xxhash64("text").alias(k) for k in key),
+        F.xxhash64("text").alias("text_hash"),
     ).withColumn("draw", draw)
     rows = materialize(rows.withColumn("block", F.pmod("draw", F.lit(blocks)).cast("int")), "tokens")
     sums = materialize(rows.groupBy("source", "block").agg(F.sum("tokens").alias("block_tokens")), "blocks")
@@ -146,7 +147,7 @@ def mix_sources(
     decided = sums.join(parts, "source", "left").select(
         "source", "block", F.coalesce("full", F.lit(1)).alias("full"), (F.coalesce("rest", F.lit(0.0)) - before).alias("left")
     )
-    running = F.sum("tokens").over(Window.partitionBy("source", "block").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    running = F.sum("tokens").over(Window.partitionBy("source", "block").orderBy("draw", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, 0))
     return (
         rows.withColumn("running", running)
         .join(decided, ["source", "block"])
@@ -157,6 +158,6 @@ def mix_sources(
             F.when(F.col("tokens") == 0, F.greatest("full", F.lit(1)))
             .otherwise(F.col("full") + (F.col("running") <= F.col("left")).cast("int"))
             .alias("copies"),
-            *key,
+            *(F.col("text_hash").alias(k) for k in key),
         )
     )

@@ -302,10 +302,11 @@ def near_duplicates(
     ties = same_row.join(several, "doc_id", "left_semi").select("doc_id", "c").filter("c <> doc_id").distinct()
     joined = connected_components(links.union(ties))
     named = classes.select("set_key", "c").join(joined.withColumnRenamed("node", "c"), "c", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return signed.select("doc_id", "n_shingles", "set_key").join(
-        named.select("set_key", F.coalesce("component", "c").alias("component_id")), "set_key", "left"
-    ).select(
+    # by doc_id: a text without words has the component of its id's other texts
+    of_id = same_row.select("doc_id", "set_key").join(named.select("set_key", F.coalesce("component", "c").alias("of")), "set_key")
+    of_id = of_id.groupBy("doc_id").agg(F.min("of").alias("of"))
+    component = F.coalesce("of", "doc_id")
+    return signed.select("doc_id", "n_shingles").join(of_id, "doc_id", "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),

@@ -31,7 +31,7 @@ LENGTH = 200
 #: Pieces of one hash in a task before they are split further.
 HOT_PIECES = 20_000
 #: Bytes that are sorted together.
-SORT_BYTES = 2_000_000
+SORT_BYTES = 500_000
 
 
 def _gram(length: int) -> int:
@@ -76,7 +76,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarr
 def _keyed(documents: DataFrame) -> DataFrame:
     """The text with a key of its row: rows with equal keys have the same text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return documents.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("_a"), F.hash(text).alias("_b"), text.alias("_text"))
+    return documents.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("_a"), F.xxhash64(text).alias("_b"), text.alias("_text"))
 
 
 def _piece_hashes(keyed: DataFrame, length: int) -> DataFrame:
@@ -87,7 +87,7 @@ def _piece_hashes(keyed: DataFrame, length: int) -> DataFrame:
                 row, _, _, key = pieces(data, offsets, length)
                 yield pa.RecordBatch.from_arrays([pa.array(a[i + row]), pa.array(b[i + row]), pa.array(key.view(np.int64))], names=["_a", "_b", "h"])
 
-    return keyed.mapInArrow(task, "_a long, _b int, h long")
+    return keyed.mapInArrow(task, "_a long, _b long, h long")
 
 
 def _shares(prefix: np.ndarray, first: int, last: int, length: int, shares: int) -> np.ndarray:
@@ -103,7 +103,7 @@ def _shares(prefix: np.ndarray, first: int, last: int, length: int, shares: int)
 
 
 _PIECE = pa.schema(
-    [("h", pa.int64()), ("p", pa.int64()), ("q", pa.int64()), ("n", pa.int32()), ("piece", pa.binary()), ("_a", pa.int64()), ("_b", pa.int32()), ("at", pa.list_(pa.int32()))]
+    [("h", pa.int64()), ("p", pa.int64()), ("q", pa.int64()), ("n", pa.int32()), ("piece", pa.binary()), ("_a", pa.int64()), ("_b", pa.int64()), ("at", pa.list_(pa.int32()))]
 )
 
 
@@ -164,7 +164,7 @@ def _cut_pieces(wanted: DataFrame, length: int, hot: int) -> DataFrame:
                                 column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PIECE)], schema=_PIECE)
 
-    return wanted.mapInArrow(task, "h long, p long, q long, n int, piece binary, _a long, _b int, at array<int>")
+    return wanted.mapInArrow(task, "h long, p long, q long, n int, piece binary, _a long, _b long, at array<int>")
 
 
 def repeated_windows(texts: list[bytes], copies: list[int], length: int) -> list[np.ndarray]:
@@ -280,7 +280,7 @@ def with_spans(documents: DataFrame, length: int = LENGTH, hot: int = HOT_PIECES
     """``documents`` with _froms and _tos, the byte runs to remove (null: none); only texts that have some move."""
     found = materialize(repeated_spans(documents, length, hot, sort_bytes).select("_a", "_b", F.col("spans.s").alias("_froms"), F.col("spans.e").alias("_tos")), "spans")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.withColumns({"_a": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), "_b": F.hash(text)})
+    rows = documents.withColumns({"_a": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), "_b": F.xxhash64(text)})
     marked = mark_possible(_key(rows), "_k", _key(found).select("_k")).drop("_k")
     moved = marked.filter("possible").join(found, ["_a", "_b"], "left").drop("possible", "_a", "_b")
     none = F.lit(None).cast("array<int>")
@@ -336,7 +336,10 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT_P
     Where a cut goes through a character of several bytes, what is left of it goes too. A null text stays null.
     """
     columns = documents.columns
-    rows = with_spans(documents, length, hot, sort_bytes)
+    rest = [c for c in columns if c != "text"]
+    # the user's columns travel as one, so that no name of theirs is a helper's
+    packed = documents.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_row"))
+    rows = with_spans(packed, length, hot, sort_bytes)
     at, n = columns.index("text"), len(columns)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,4 +348,5 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT_P
             made = pa.array(texts, pa.string(), mask=batch.column(at).is_null().to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([made if k == at else batch.column(k) for k in range(n)], names=columns)
 
-    return rows.select(*columns, "_froms", "_tos").mapInArrow(task, documents.schema)
+    unpacked = [F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in columns]
+    return rows.select(*unpacked, F.col("_froms").alias("_f"), F.col("_tos").alias("_t")).mapInArrow(task, documents.schema)

@@ -7,8 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 2_000_000
+#: Bytes and rows of text handled at once; a longer text is handled alone. A task's arrays take some 60 times the
+#: bytes, and its memory stays with the worker.
+CHUNK_BYTES = 400_000
+CHUNK_ROWS = 1000
 
 WORD_BREAKS = bytes([0x20, *range(0x09, 0x0E)])
 _IS_BREAK = np.isin(np.arange(256), list(WORD_BREAKS))
@@ -55,12 +57,12 @@ def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges [i, j) of at most ``limit`` bytes, or of one row."""
+    """Row ranges [i, j) of at most ``limit`` bytes and ``CHUNK_ROWS`` rows, or of one row."""
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
-        yield i, min(j, n)
-        i = min(j, n)
+        j = min(max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1), i + CHUNK_ROWS, n)
+        yield i, j
+        i = j
 
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -112,6 +112,12 @@ def test_all_texts_of_one_id_are_linked(spark):
         assert len(found) == len(rows) and {(r.doc_id, r.component_id) for r in found} == set(expected.items())
 
 
+def test_a_text_without_words_belongs_to_its_id(spark):
+    text = " ".join(words(31, 40))
+    found = near_duplicates(frame(spark, [(1, text), (5, text), (5, ""), (6, None)])).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == [(1, 36, 1, True), (5, 0, 1, False), (5, 36, 1, False), (6, 0, 6, True)]
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(frame(spark, [])).collect() == []
     assert [r.kept for r in near_duplicates(frame(spark, [(1, None)])).collect()] == [True]
@@ -133,6 +139,11 @@ def test_without_ids(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     gone = spark.range(0, 100, 7)
     assert sorted(r.k for r in without_ids(df, "k", gone).collect()) == [i for i in range(100) if i % 7]
+    helpers = ("possible", "_bucket", "_bits", "_key", "_row", "_id")
+    named = df.select("k", *(F.lit(n).alias(n) for n in helpers))
+    left = without_ids(named, "k", gone)
+    assert left.columns == named.columns and sorted(r.k for r in left.collect()) == [i for i in range(100) if i % 7]
+    assert {tuple(r)[1:] for r in left.collect()} == {helpers}
 
 
 def test_suffix_order_and_windows():
@@ -191,6 +202,11 @@ def test_cut_texts_keep_rows_and_columns(spark):
     assert len(rows) == df.count() and {r.c for r in rows} == {"clash"}
     assert {r.doc_id: r.text for r in rows}[20] == "" and {r.doc_id: r.text for r in rows}[25] is None
     assert without_repeats(frame(spark, [])).collect() == []
+    helpers = ("possible", "_a", "_b", "_k", "_bucket", "_bits", "_froms", "_tos", "_row", "h", "p", "q", "n", "at", "spans")
+    named = df.select("doc_id", *(F.lit(n).alias(n) for n in helpers), "text")
+    again = without_repeats(named)
+    assert again.columns == named.columns and {tuple(r)[1:-1] for r in again.collect()} == {helpers}
+    assert Counter((r.doc_id, r.text) for r in again.collect()) == Counter((r.doc_id, r.text) for r in rows)
 
 
 def test_nearest(spark):

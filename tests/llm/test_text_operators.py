@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfwise.llm import chat, fingerprints, lengths, mixing, pieces, quality, training_order
@@ -269,6 +270,16 @@ def test_word_count(spark):
     assert got == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in enumerate(texts)}
 
 
+def test_mixture_does_not_depend_on_partitions(spark):
+    texts = [f"word{i % 300} and some more" for i in range(300)] * 2
+    df = frame(spark, texts, [7] * 300 + [None] * 300).withColumn("block", F.lit(1)).withColumn("draw", F.lit("clash"))
+    chosen = [
+        Counter((r.doc_id, r.source, r.text_key, r.copies) for r in mixing.mix_sources(df.repartition(n), max_repeats=1, budget=700, text_key=True).collect())
+        for n in (1, 7)
+    ]
+    assert chosen[0] == chosen[1] and len({r[-1] for r in chosen[0]}) > 1
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
     names = docs.columns
