@@ -249,7 +249,7 @@ ORACLES: dict[str, str] = {
     "csv_round_trip": f"WITH {RAW} {COUNTY_SALES.format('cleaned')}",
     "csv_with_schema": f"WITH {RAW} {COUNTY_SALES.format('cleaned')}",
     "partitioned_write": f"""WITH {SALES} SELECT product_id, CAST(date AS VARCHAR) AS date, county, quantity,
-        CAST(price AS DOUBLE) AS price, product_name, category FROM refined WHERE county = '{COUNTY}'""",
+        CAST(price AS DOUBLE) AS price, product_name, category FROM refined""",
     "curated_write": f"""WITH {CURATED}, totals AS (
         SELECT 'sales_by_product' AS table_name, total_quantity, total_revenue FROM by_product
         UNION ALL SELECT 'sales_by_county', SUM(total_quantity), SUM(total_revenue) FROM view GROUP BY county
@@ -259,6 +259,12 @@ ORACLES: dict[str, str] = {
         SELECT table_name, COUNT(*) AS row_count, CAST(SUM(total_quantity) AS BIGINT) AS total_quantity,
                CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue FROM totals GROUP BY table_name""",
     "compacted_write": f"WITH {SALES} {COUNTY_SALES.format('sales')}",
+    "compacted_in_place": f"""WITH {SALES}, twice AS (SELECT county, price, quantity FROM sales
+        UNION ALL SELECT county, price, 1 FROM sales) {COUNTY_SALES.format('twice')}""",
+    "rejected_rows": f"""WITH {RAW}, judged AS (SELECT CASE WHEN TRY_CAST(price AS DECIMAL(12,2)) IS NULL AND price IS NOT NULL
+        THEN 'malformed' WHEN product_id = '' THEN 'no product_id' WHEN quantity IS NULL THEN 'no quantity'
+        WHEN price IS NULL THEN 'no price' ELSE 'kept' END AS reason FROM raw_sales)
+        SELECT reason, COUNT(*) AS row_count FROM judged GROUP BY reason""",
     "external_table": f"WITH {SALES} {COUNTY_SALES.format('sales')}",
     "partition_insert": f"""WITH {SALES}, loaded AS (SELECT county, price,
         CASE WHEN county = '{COUNTY}' THEN quantity + 1 ELSE quantity END AS quantity FROM sales)
@@ -305,6 +311,16 @@ ORACLES: dict[str, str] = {
         CAST(date AS VARCHAR) AS date, quantity, CAST(price AS DOUBLE) AS price FROM daily
         WHERE date < DATE '{SINCE}'
         QUALIFY row_number() OVER (PARTITION BY product_id, county ORDER BY date DESC) = 1""",
+    "asof_join": f"""WITH {SALES}, last AS (SELECT product_id, date, max((price, quantity)) AS x FROM sales GROUP BY ALL),
+        lines AS (SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_shipdate AS DATE) AS date, l_orderkey, l_linenumber FROM lineitem)
+        SELECT lines.product_id, CAST(lines.date AS VARCHAR) AS date, l_orderkey, l_linenumber,
+        CAST(last.date AS VARCHAR) AS found_date, CAST(x[1] AS DOUBLE) AS price, x[2] AS quantity
+        FROM lines ASOF LEFT JOIN last ON lines.product_id = last.product_id AND lines.date > last.date""",
+    "distinct_sketched": f"""WITH {SALES}, months AS (SELECT *, strftime(date, '%Y-%m') AS month FROM sales), counted AS (
+        SELECT 'county' AS grain, county AS value, product_id, date FROM months
+        UNION ALL SELECT 'month', month, product_id, date FROM months UNION ALL SELECT 'all', '', product_id, date FROM months)
+        SELECT grain, value, COUNT(DISTINCT product_id) AS products, COUNT(DISTINCT date) AS days, TRUE AS near
+        FROM counted GROUP BY grain, value""",
     "sales_by_product": f"WITH {SALES} {BY_PRODUCT}",
     "sales_by_county": f"WITH {SALES} {BY_COUNTY}",
     "sales_by_category": f"WITH {SALES} {BY_CATEGORY}",
@@ -417,6 +433,37 @@ ORACLES: dict[str, str] = {
         THEN 'train' ELSE 'test' END AS side FROM daily)
         SELECT side, COUNT(*) AS row_count, CAST(SUM(quantity) AS BIGINT) AS total_quantity
         FROM sides GROUP BY side""",
+    "rolling_split": f"""WITH {SALES}, {daily('product_id, county')}, bounds AS (SELECT CAST(f AS INTEGER) AS fold,
+        (SELECT max(date) FROM sales) - CAST(f * 60 + 60 AS INTEGER) AS start FROM range(3) r(f)),
+        used AS (SELECT fold, CASE WHEN date <= start THEN 'train' ELSE 'test' END AS side, quantity, date
+        FROM daily, bounds WHERE date <= start + 60)
+        SELECT fold, side, COUNT(*) AS row_count, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+        CAST(min(date) AS VARCHAR) AS first_day, CAST(max(date) AS VARCHAR) AS last_day FROM used GROUP BY fold, side""",
+    "category_means": f"""WITH {SALES}, {daily('product_id, county')}, marked AS (SELECT county, quantity,
+        {hash_number('product_id', 'county', 'date', salt='42')} % 1000000 < 800000 AS train,
+        CAST({hash_number('product_id', 'county', 'date', salt='fold')} % 5 AS INTEGER) AS part FROM daily),
+        used AS (SELECT county, CASE WHEN train THEN part ELSE -1 END AS fold, COUNT(*) AS row_count FROM marked GROUP BY ALL),
+        base AS (SELECT county, part, SUM(quantity) AS total, COUNT(*) AS n FROM marked WHERE train GROUP BY ALL),
+        made AS (SELECT used.county, fold, any_value(row_count) AS row_count,
+        round((SUM(CASE WHEN base.county = used.county THEN total ELSE 0 END) + 10 * CAST(SUM(total) AS DOUBLE) / SUM(n))
+        / (SUM(CASE WHEN base.county = used.county THEN n ELSE 0 END) + 10), 6) AS mean
+        FROM used JOIN base ON base.part <> fold GROUP BY used.county, fold)
+        SELECT county, fold, row_count, mean AS lowest, mean AS highest FROM made""",
+    "fitted_line": f"""WITH {SALES}, {daily('product_id, county')}, marked AS (SELECT CAST(quantity AS DOUBLE) AS y, CAST(price AS DOUBLE) AS x,
+        {hash_number('product_id', 'county', 'date', salt='42')} % 1000000 < 800000 AS train FROM daily),
+        fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS base, avg(y) AS mean FROM marked WHERE train),
+        predicted AS (SELECT 'line' AS model, y, base + slope * x AS p FROM marked, fit WHERE NOT train
+        UNION ALL SELECT 'flat', y, mean FROM marked, fit WHERE NOT train),
+        errors AS (SELECT model, COUNT(*) AS n, sqrt(avg((y - p) ** 2)) AS rmse, avg(abs(y - p)) AS mae,
+        1 - sum((y - p) ** 2) / (var_pop(y) * COUNT(*)) AS r2 FROM predicted GROUP BY model)
+        SELECT model, n, round(rmse, 5) AS rmse, round(mae, 5) AS mae, round(r2, 5) AS r2,
+        rmse = min(rmse) OVER () AS is_best FROM errors""",
+    "step_forecast": f"""WITH {SALES}, last AS (SELECT DISTINCT product_id, county FROM sales), future AS (
+        SELECT last.*, CAST((SELECT max(date) FROM sales) + CAST(k AS INTEGER) AS DATE) AS date FROM last, range(1, 15) r(k))
+        SELECT product_id, county, CAST(date AS VARCHAR) AS date,
+        CASE WHEN dayofweek(date) IN (0, 6) THEN 7.0::DOUBLE ELSE 3.0::DOUBLE END AS forecast_quantity FROM future""",
+    "step_importance": """SELECT feature, CASE WHEN feature = 'is_weekend' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance
+        FROM (VALUES ('is_weekend'), ('day_of_month'), ('month')) f(feature)""",
     "forecast_frame": f"""WITH {SALES}, {daily('product_id, county')},
         last AS (SELECT product_id, county, quantity, CAST(price AS DOUBLE) AS price FROM daily
                  QUALIFY row_number() OVER (PARTITION BY product_id, county ORDER BY date DESC) = 1),

@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfwise.functions.calendar import is_weekend, latest_day, within_last_months
 from shelfwise.functions.measures import revenue
 from shelfwise.operators import audit, cleaning, curated, demand, enrichment, joins, protection, quality
-from shelfwise.operators import ranking, segments, series
-from shelfwise.plans import curate, forecasting, insights, insights_sql
+from shelfwise.operators import ranking, segments, series, sketches
+from shelfwise.plans import curate, encoding, forecasting, insights, insights_sql
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sources import readers, sinks, star_schema as star
 from shelfwise.streaming import windows
@@ -21,6 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 COUNTY = "NATION_7"
 SINCE = "2000-01-01"
 GROUP_SERIES = ("category", "county")
+PARTITION_ROWS = 200
+FILE_BYTES = 1 << 20
 QUERIES: dict[str, Query] = {}
 
 
@@ -118,12 +121,11 @@ def csv_with_schema(spark, root):
 
 @query
 def partitioned_write(spark, root):
-    """Refined rows written by county; one county is read back from its partition alone."""
-    path = scratch_path(spark, "refined-by-county")
+    """Refined rows written by the finest dates whose partitions are large enough, and county; all read back."""
+    path = scratch_path(spark, "refined-by-size")
     refined = _refined(spark, root)
-    sinks.write_refined(refined, path, ["county"])
-    stored = readers.read_layer(spark, path, schema=refined.schema)
-    return plain(stored.filter(F.col("county") == COUNTY))
+    sinks.write_refined_by_size(refined, path, least_rows=PARTITION_ROWS)
+    return plain(readers.read_layer(spark, path, schema=refined.schema).select(refined.columns))
 
 
 @query
@@ -153,6 +155,30 @@ def compacted_write(spark, root):
     return plain(insights.county_sales(readers.read_layer(spark, compacted)))
 
 
+@query
+def compacted_in_place(spark, root):
+    """Sales by county in one large file each, and as many small ones as tasks wrote; only the small ones are packed."""
+    path = scratch_path(spark, "grown")
+    sales = star.sales(spark, root)
+    sinks.write_layer(sales, path, ["county"])
+    sales.withColumn("quantity", F.lit(1)).repartition(16).write.mode("append").partitionBy("county").parquet(path)
+    sinks.compact_small(spark, path, FILE_BYTES, ["county"], sales.schema)
+    return plain(insights.county_sales(readers.read_layer(spark, path, schema=sales.schema)))
+
+
+@query
+def rejected_rows(spark, root):
+    """Raw sales scanned with their types: rows that fit, and rows rejected, by reason."""
+    path = scratch_path(spark, "raw-csv")
+    raw = star.raw_sales(spark, root, county=False)
+    sinks.export_csv(raw, path)
+    schema = "product_id string, date date, quantity int, price decimal(12,2)"
+    rows = readers.read_csv(spark, path, T.StructType.fromDDL(schema), keep_corrupt=True)
+    good, rejected = readers.split_rejected(rows, ("product_id", "quantity", "price"))
+    kept = good.agg(F.lit("kept").alias("reason"), F.count(F.lit(1)).alias("row_count"))
+    return kept.unionByName(rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count")))
+
+
 @query
 def external_table(spark, root):
     """A catalog table over files partitioned by county, with its partitions recovered."""
@@ -311,6 +337,17 @@ def asof_latest(spark, root):
     )
 
 
+@query
+def asof_join(spark, root):
+    """For every line the last sale of its product that was shipped on an earlier day."""
+    lines = star.table(spark, root, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("product_id"), F.col("l_shipdate").cast("date").alias("date"), "l_orderkey", "l_linenumber"
+    )
+    prices = star.sales(spark, root, county=False)
+    found = joins.asof_join(lines, prices, ["product_id"], ["price", "quantity"], strict=True, range_of=F.year("date"))
+    return plain(found)
+
+
 # aggregates
 
 
@@ -367,6 +404,30 @@ def distinct_counts(spark, root):
     )
 
 
+@query
+def distinct_sketched(spark, root):
+    """Products and days counted by sketches stored by county and month and merged, beside exact counts.
+
+    ``near`` says whether the estimate lies within five standard errors of the exact count.
+    """
+    sales = star.sales(spark, root).withColumns({"month": F.date_format("date", "yyyy-MM"), "all": F.lit("")})
+    names = ["product_id", "date"]
+    stored = materialize(sketches.distinct_sketches(sales, ["county", "month", "all"], names), "sketches")
+    bound = 5 * sketches.standard_error()
+    result = None
+    for grain in ("county", "month", "all"):
+        estimates = sketches.sketch_counts(sketches.merge_sketches(stored, [grain], names), names)
+        exact = sales.groupBy(grain).agg(*[F.count_distinct(c).alias(f"exact_{c}") for c in names])
+        both = estimates.join(exact, grain)
+        near = [F.abs(F.col(c) - F.col(f"exact_{c}")) <= bound * F.col(f"exact_{c}") for c in names]
+        rows = both.select(
+            F.lit(grain).alias("grain"), F.col(grain).alias("value"),
+            F.col("exact_product_id").alias("products"), F.col("exact_date").alias("days"), (near[0] & near[1]).alias("near"),
+        )
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
 @query
 def count_non_null(spark, root):
     """Rows, and rows that have a price and a quantity, before cleaning."""
@@ -650,7 +711,7 @@ def _daily(spark: SparkSession, root: str) -> DataFrame:
 def _train(daily: DataFrame, **options) -> forecasting.TrainedModels:
     table = materialize(series.sales_features(daily), "features")
     train, test = forecasting.split_rows(table, [*series.SERIES, "date"])
-    return forecasting.train_models(materialize(train, "train"), test, **options)
+    return forecasting.train_models(train, test, **options)
 
 
 @query
@@ -682,6 +743,78 @@ def forecast_accuracy(spark, root):
     return forecasting.forecast_accuracy(daily, forecasting.forecast(trained, known))
 
 
+@query
+def rolling_split(spark, root):
+    """Rows and days on each side of three splits by time, 60 days apart."""
+    daily = series.daily_series(star.sales(spark, root))
+    used = forecasting.rolling_folds(daily, 3, 60, _last_day(spark, root))
+    return plain(
+        used.groupBy("fold", "side").agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("total_quantity"), F.min("date").alias("first_day"), F.max("date").alias("last_day")
+        )
+    )
+
+
+@query
+def category_means(spark, root):
+    """Out-of-fold means of quantity by county for each fold of the training rows, and those of the test rows."""
+    daily = series.daily_series(star.sales(spark, root))
+    keys = [*series.SERIES, "date"]
+    train, test = forecasting.split_rows(daily, keys)
+    means = encoding.fit_target_means(train, ["county"], "quantity", keys)
+    fold = encoding.fold_of(keys)
+    rows = means.for_training(train).withColumn("fold", fold).unionByName(means.for_others(test).withColumn("fold", F.lit(-1)))
+    return rows.groupBy("county", "fold").agg(
+        F.count(F.lit(1)).alias("row_count"), F.round(F.min("county_mean"), 6).alias("lowest"), F.round(F.max("county_mean"), 6).alias("highest")
+    )
+
+
+def _proof_rows(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    daily = materialize(series.daily_series(star.sales(spark, root)), "daily")
+    rows = daily.select(*series.SERIES, "date", "quantity", F.col("price").cast("double").alias("price"))
+    return forecasting.split_rows(rows, [*series.SERIES, "date"])
+
+
+@query
+def fitted_line(spark, root):
+    """Least squares of quantity by price, and a fit forced to be flat: their errors on the test rows, and the winner."""
+    train, test = _proof_rows(spark, root)
+    models = {
+        "line": lambda label: LinearRegression(labelCol=label, solver="normal"),
+        "flat": lambda label: LinearRegression(labelCol=label, regParam=1e15, solver="normal"),
+    }
+    trained = forecasting.train_models(train, test, feature_columns=["price"], estimators=models)
+    rows = [(n, int(m["n"]), m["rmse"], m["mae"], m["r2"], n == trained.best_name) for n, m in trained.metrics.items()]
+    made = spark.createDataFrame(rows, "model string, n long, rmse double, mae double, r2 double, is_best boolean")
+    return made.select("model", "n", *[F.round(c, 5).alias(c) for c in ("rmse", "mae", "r2")], "is_best")
+
+
+def _step_models(spark: SparkSession, root: str) -> tuple[DataFrame, forecasting.TrainedModels]:
+    """Daily rows whose quantity is a step, 7 on weekends and 3 on other days, and trees that learn it."""
+    daily = series.daily_series(star.sales(spark, root))
+    step = F.when(is_weekend(F.col("date")) == 1, 7).otherwise(3).cast("long")
+    daily = materialize(daily.withColumn("quantity", step), "steps")
+    table = materialize(series.sales_features(daily), "step-features")
+    train, test = forecasting.split_rows(table, [*series.SERIES, "date"])
+    names = [n for n in forecasting.ESTIMATORS if n != "linear_regression"]
+    return daily, forecasting.train_models(train, test, names=names, feature_columns=["is_weekend", "day_of_month", "month"])
+
+
+@query
+def step_forecast(spark, root):
+    """Every product and county on the next 14 days, by trees fitted to the step."""
+    daily, trained = _step_models(spark, root)
+    made = forecasting.forecast(trained, daily, days=14)
+    return plain(made.withColumn("forecast_quantity", F.round("forecast_quantity", 6)).select("product_id", "county", "date", "forecast_quantity"))
+
+
+@query
+def step_importance(spark, root):
+    """What boosted trees fitted to the step say of their features: the weekend alone matters."""
+    _, trained = _step_models(spark, root)
+    return forecasting.feature_importance(spark, trained, "gradient_boosted").select("feature", F.round("importance", 6).alias("importance"))
+
+
 @query
 def naive_errors(spark, root):
     """Errors of the day before as the forecast, over all series: the measures that choose a model."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.calendar import latest_day
 
@@ -64,6 +64,56 @@ def latest_per_series(
     return last.select(*keys, F.col(f"last.{date}").alias(date), *[F.col(f"last.{v}").alias(v) for v in values])
 
 
+def asof_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    date: str = "date",
+    strict: bool = False,
+    range_of: Column | None = None,
+    found: str = "found_date",
+) -> DataFrame:
+    """Every left row with the values of the last right row of its series up to its own date.
+
+    ``strict`` takes earlier dates only. Of right rows with equal dates the one with the largest values
+    (in their order) counts. A left row without an earlier right row, or with a null key or date, has
+    nulls; right rows with a null date are never found. ``found`` names the date of what was found.
+
+    Both sides are one table that is dealt by series and sorted by date once; the last right row is
+    carried along. ``range_of`` (of the date column, rising with it: its year, say) also deals a series by
+    ranges of dates, so that a series which is much of a table isn't one task. What a range begins with
+    then comes from one row for each series and range.
+    """
+    by = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    span = F.lit(0) if range_of is None else range_of
+    kept = F.struct(*(F.col(f"`{c}`") for c in left.columns)).alias("_left")
+    carried = F.struct(F.col(date).alias("d"), *(F.col(v).alias(f"v{i}") for i, v in enumerate(values))).alias("_right")
+    lefts = left.select(*by, F.col(date).alias("_d"), span.alias("_r"), kept)
+    rights = right.filter(F.col(date).isNotNull()).select(*by, F.col(date).alias("_d"), span.alias("_r"), carried)
+    # at one date right rows stand before the left ones that may find them, the largest values last
+    side = F.lit(2) if strict else F.lit(0)
+    events = lefts.withColumn("_side", F.lit(1)).unionByName(rights.withColumn("_side", side), allowMissingColumns=True)
+    if range_of is not None:
+        last = rights.groupBy(*names, "_r").agg(F.max("_right").alias("_last"))
+        # an empty range begins with nothing of its own: every range with left rows needs a row here
+        ranges = last.unionByName(lefts.select(*names, "_r").distinct(), allowMissingColumns=True).groupBy(*names, "_r").agg(F.max("_last").alias("_last"))
+        before = Window.partitionBy(*names).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+        begun = ranges.withColumn("_right", F.last("_last", ignorenulls=True).over(before)).filter("_right is not null")
+        events = events.unionByName(begun.select(*names, "_r", F.col("_right.d").alias("_d"), "_right", F.lit(-1).alias("_side")), allowMissingColumns=True)
+    order = Window.partitionBy(*names, "_r").orderBy(F.col("_d").asc_nulls_first(), "_side", "_right")
+    reached = events.withColumn("_found", F.last("_right", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    known = F.col("_d").isNotNull()
+    for name in names:
+        known = known & F.col(name).isNotNull()
+    return reached.filter("_left is not null").select(
+        *(F.col("_left").getField(c).alias(c) for c in left.columns),
+        F.when(known, F.col("_found.d")).alias(found),
+        *(F.when(known, F.col(f"_found.v{i}")).alias(v) for i, v in enumerate(values)),
+    )
+
+
 def future_days(
     df: DataFrame, keys: Sequence[str], days: int, date: str = "date", last_day: Column | None = None
 ) -> DataFrame:

@@ -24,6 +24,24 @@ def read_csv(
     return reader.schema(schema).csv(path)
 
 
+def split_rejected(rows: DataFrame, required: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows) of a CSV scan with ``keep_corrupt``, from the same scan.
+
+    A row is rejected if a value does not fit its column ('malformed') or a ``required`` column is missing
+    ('no <column>', the first one). Rejected rows keep the line as it was, the reason and the file.
+    """
+    values = [c for c in rows.columns if c != CORRUPT]
+    # a scan only checks the columns that it is asked for; the second test is never true but asks for all
+    unfit = F.col(CORRUPT).isNotNull() | (F.size(F.array(*[F.col(c).cast("string") for c in values])) < len(values))
+    reason = F.when(unfit, "malformed")
+    for name in required:
+        reason = reason.when(F.col(name).isNull(), f"no {name}")
+    marked = rows.select("*", reason.alias("_reason"), F.col("_metadata.file_name").alias("_file"))
+    line = F.coalesce(CORRUPT, F.to_csv(F.struct(*values)))
+    rejected = marked.filter("_reason is not null").select(line.alias("line"), F.col("_reason").alias("reason"), F.col("_file").alias("file"))
+    return marked.filter("_reason is null").select(*values), rejected
+
+
 def read_raw(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Raw sales and products below ``root``."""
     return (

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # Curated datasets and the columns each is partitioned by.
 CURATED_LAYOUT = {
@@ -16,7 +17,6 @@ CURATED_LAYOUT = {
     "comprehensive_view": ("county",),
 }
 REFINED_LAYOUT = ("date", "county")
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 # Sketched layouts for larger tables: partition columns, bucket columns, bucket count.
 BUCKETED_LAYOUTS = {
@@ -56,6 +56,35 @@ def write_refined(df: DataFrame, path: str, partition_cols: Sequence[str] = REFI
     write_layer(df, path, partition_cols)
 
 
+def layout_by_size(df: DataFrame, grains: Mapping[str, Column], rest: Sequence[str], least_rows: int) -> str | None:
+    """The finest of ``grains`` (name and expression, finest first) whose partitions, by it and ``rest``, hold enough rows.
+
+    Partitions that are smaller than ``least_rows`` on average cost more to list and open than to read. All
+    grains are measured in one pass, with approximate counts; None if even the coarsest is too fine.
+    """
+    counts = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.approx_count_distinct(F.struct(grain, *rest)).alias(name) for name, grain in grains.items()],
+    ).first()
+    return next((name for name in grains if counts["n"] >= least_rows * counts[name]), None)
+
+
+def write_refined_by_size(
+    df: DataFrame, path: str, date: str = "date", rest: Sequence[str] = ("county",), least_rows: int = 100_000
+) -> list[str]:
+    """The refined layer partitioned by days, else months, else years, whichever has partitions of enough rows.
+
+    Gives the partition columns. The date itself stays a column where the partitions are coarser.
+    """
+    grains = {date: F.col(date), "month": F.date_format(date, "yyyy-MM"), "year": F.date_format(date, "yyyy")}
+    grain = layout_by_size(df, grains, rest, least_rows)
+    columns = [*([grain] if grain else []), *rest]
+    if grain and grain != date:
+        df = df.withColumn(grain, grains[grain])
+    write_layer(df, path, columns)
+    return columns
+
+
 def write_curated(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
     """Write the curated datasets below ``root``; gives the path of each.
 
@@ -82,6 +111,43 @@ def compact(
     write_layer(df, target, partition_cols, fmt, "errorifexists", max_records_per_file)
 
 
+def compact_small(
+    spark: SparkSession, path: str, small_bytes: int, partition_cols: Sequence[str] = (), schema: T.StructType | None = None
+) -> tuple[int, int]:
+    """Pack the files below ``small_bytes`` of a Parquet dataset in place; gives how many there were and are now.
+
+    The sizes come from the files' metadata, and larger files are neither read nor touched. The packed files
+    are written to a hidden folder first, then moved in, and only then are the small ones deleted; a run that
+    dies before moving leaves the dataset as it was. Nobody else may write to the dataset meanwhile.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    stored = reader.parquet(path)
+    small = stored.filter(F.col("_metadata.file_size") < small_bytes)
+    names = [row.p for row in small.select(F.col("_metadata.file_path").alias("p")).distinct().toLocalIterator()]
+    if len(names) < 2:
+        return len(names), len(names)
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    staged = jvm.org.apache.hadoop.fs.Path(root, f"_packed-{uuid.uuid4().hex}")
+    write_layer(small, staged.toString(), partition_cols, mode="errorifexists")
+    base, moved = files.makeQualified(staged).toString(), 0
+    listing = files.listFiles(staged, True)
+    while listing.hasNext():
+        made = listing.next().getPath()
+        if made.getName().startswith(("_", ".")):
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(root, made.toString()[len(base) + 1 :])
+        files.mkdirs(target.getParent())
+        if not files.rename(made, target):
+            raise OSError(f"could not move {made} to {target}")
+        moved += 1
+    for name in names:
+        files.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)), False)
+    files.delete(staged, True)
+    return len(names), moved
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -120,16 +186,23 @@ def create_external_table(
 def insert_partitions(
     df: DataFrame, name: str, partition_cols: Sequence[str], overwrite: bool = False
 ) -> None:
-    """Insert with dynamic partitions; ``overwrite`` replaces just the partitions that ``df`` has."""
-    ordered = [c for c in df.columns if c not in partition_cols] + list(partition_cols)
-    rows = gather(df.select(*ordered), partition_cols)
-    conf = df.sparkSession.conf
-    mode = conf.get(OVERWRITE_MODE)
-    conf.set(OVERWRITE_MODE, "dynamic")  # a catalog table takes this from the session alone
-    try:
-        rows.write.insertInto(name, overwrite=overwrite)
-    finally:
-        conf.set(OVERWRITE_MODE, mode)
+    """Insert with dynamic partitions; ``overwrite`` replaces just the partitions that ``df`` has.
+
+    An overwrite goes to the table's files with the mode as an option of this one write, and the table then
+    learns of new partitions: the session's setting, which other inserts see, stays as it is.
+    """
+    spark = df.sparkSession
+    if not overwrite:
+        ordered = [c for c in df.columns if c not in partition_cols] + list(partition_cols)
+        gather(df.select(*ordered), partition_cols).write.insertInto(name)
+        return
+    detail = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    table = spark.table(name)
+    rows = gather(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema]), partition_cols)
+    writer = rows.write.format(detail["Provider"]).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_cols).save(detail["Location"])
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def create_table_as(
