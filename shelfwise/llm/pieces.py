@@ -25,7 +25,7 @@ from shelfwise.llm.texts import mix, powers, text_chunks
 
 #: Vocabulary file of SentencePiece's format.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 800_000
+CHUNK = 250_000
 _SPACE_SIGN = "▁"
 #: Leading bits of a piece's hash that are looked up in a table.
 _LEAD = 18

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise.llm.idsets import mark_possible
 from shelfwise.llm.suffixes import adjacent_prefixes, eight_bytes, two_stage_order
 from shelfwise.llm.tasks import Rows
-from shelfwise.llm.texts import as_bytes, mix, prefix_hashes, span_hashes, text_chunks
+from shelfwise.llm.texts import as_bytes, mix, prefix_hashes, release, span_hashes, text_chunks
 from shelfwise.session import materialize
 
 LENGTH = 200
@@ -239,6 +239,7 @@ def _sorted_spans(unique: DataFrame, length: int, sort_bytes: int) -> DataFrame:
         if names:
             flush()
         yield from out.take(1)
+        release()
 
     placed = unique.repartition(F.col("h")).sortWithinPartitions("h", "p", "q")
     return placed.mapInArrow(task, "p long, q long, `from` array<int>, `to` array<int>")
