@@ -16,6 +16,7 @@ first; a block gets back the counts of its own pairs only.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -184,24 +185,38 @@ _STORED_SQL = "block long, kind int, doc_id long, n_a long, n_b long, n_groups l
 _NUMBERS, _TEXT = 1, 2
 
 
+class _Places(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        place = self[key] = len(self)
+        return place
+
+
 class _Block:
     """Texts of one block and the units they are made of."""
 
     def __init__(self, number: int):
-        self.number, self.places, self.ids, self.texts, self.bytes = number, {}, [], [], 0
+        self.number, self.places, self.ids, self.texts, self.bytes = number, _Places(), [], [], 0
 
     def add(self, doc_id: int | None, text: str | None) -> None:
-        places, new = self.places, self.places.setdefault
+        parts = _UNITS.split(text) if text else []
         self.ids.append(doc_id)
-        self.texts.append(np.array([new(u, len(places)) for u in _UNITS.split(text)] if text else [], np.int32))
+        self.texts.append(np.fromiter(map(self.places.__getitem__, parts), np.int32, len(parts)))
         self.bytes += len(text or "")
 
     def full(self, block_bytes: int = BLOCK_BYTES) -> bool:
         return self.bytes >= block_bytes or len(self.places) >= BLOCK_UNITS
 
     def batches(self, tokenizers: Tokenizers) -> Iterator[pa.RecordBatch]:
-        known = Aligned(tokenizers, list(self.places))
-        self.places = {}
+        collects = gc.isenabled()
+        gc.disable()  # spans come as millions of small tuples, none of them in a cycle
+        try:
+            known = Aligned(tokenizers, list(self.places))
+        finally:
+            if collects:
+                gc.enable()
+        self.places = _Places()
         uses = np.zeros(len(known.valid), np.int64)
         rows = []
         for doc_id, used in zip(self.ids, self.texts):
