@@ -292,6 +292,16 @@ shown AS (SELECT CAST(window_start AS VARCHAR) AS window_start, CAST(window_end
                  transaction_count, total_sales FROM windows"""
 
 
+AUDIT_WEEK = """WITH recent AS (SELECT *, 1 + CAST(props->>'$.k' AS INTEGER) % 4 AS steps FROM events
+WHERE event_id % 97 <> 0 AND ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY)
+SELECT 7 AS period_days, COUNT(*) FILTER (event_type <> 'signup') AS total_jobs,
+COUNT(*) FILTER (event_type NOT IN ('signup', 'error')) AS successful_jobs,
+COUNT(*) FILTER (event_type = 'error') AS failed_jobs,
+CAST(SUM(steps) FILTER (event_type <> 'signup') AS BIGINT) AS total_transformations,
+COUNT(*) FILTER (event_type = 'signup' AND value < 60) AS quality_checks_passed,
+COUNT(*) FILTER (event_type = 'signup' AND value >= 60) AS quality_checks_failed FROM recent"""
+
+
 ORACLES: dict[str, str] = {
     "scan_refined": f"""WITH {SALES} SELECT product_id, CAST(date AS VARCHAR) AS date, county, quantity,
         CAST(price AS DOUBLE) AS price, product_name, category FROM refined""",
@@ -463,14 +473,16 @@ ORACLES: dict[str, str] = {
         COUNT(*) FILTER (change = 'TYPE_CHANGED') AS changed_types, COUNT(change) = 0 AS backward_compatible
         FROM (SELECT DISTINCT table_name FROM old) t LEFT JOIN changes c ON t.table_name = c.table_name
         GROUP BY t.table_name""",
-    "audit_summary": """WITH recent AS (SELECT *, 1 + CAST(props->>'$.k' AS INTEGER) % 4 AS steps FROM events
-        WHERE event_id % 97 <> 0 AND ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY)
-        SELECT 7 AS period_days, COUNT(*) FILTER (event_type <> 'signup') AS total_jobs,
-        COUNT(*) FILTER (event_type NOT IN ('signup', 'error')) AS successful_jobs,
-        COUNT(*) FILTER (event_type = 'error') AS failed_jobs,
-        CAST(SUM(steps) FILTER (event_type <> 'signup') AS BIGINT) AS total_transformations,
-        COUNT(*) FILTER (event_type = 'signup' AND value < 60) AS quality_checks_passed,
-        COUNT(*) FILTER (event_type = 'signup' AND value >= 60) AS quality_checks_failed FROM recent""",
+    "audit_summary": AUDIT_WEEK,
+    "audit_by_day": AUDIT_WEEK,
+    "run_records": f"""WITH {RAW} SELECT job_name, status, CAST(steps AS INTEGER) AS steps, error,
+        CASE WHEN counted THEN (SELECT COUNT(*) FROM lineitem) END AS sales_raw,
+        CASE WHEN counted THEN (SELECT COUNT(*) FROM part) END AS products_raw,
+        CASE WHEN counted THEN (SELECT COUNT(*) FROM refined_dirty) END AS joined,
+        CASE WHEN job_name = 'curate' THEN (SELECT COUNT(DISTINCT COALESCE(county, '')) FROM refined_dirty) END
+            AS sales_by_county_group_count
+        FROM (VALUES ('refine', 'FAILED', 4, 'QualityError', false), ('refine', 'SUCCESS', 4, NULL, true),
+        ('curate', 'SUCCESS', 5, NULL, false)) r(job_name, status, steps, error, counted)""",
     "quality_record": f"""{CHECKS} SELECT 'refine' AS job_name, 'data_quality' AS quality_type,
         CASE WHEN (SELECT bool_and(passed) FROM checks) THEN 'PASSED' ELSE 'FAILED' END AS overall_status,
         true AS data_governance, (SELECT bool_and(passed) FROM checks) AS quality_standards,
@@ -543,11 +555,29 @@ ORACLES: dict[str, str] = {
         SELECT customer_id, CAST(max(date) AS VARCHAR) AS last_purchase_date, COUNT(*) AS frequency,
         CAST(SUM(amount) AS DOUBLE) AS monetary_value,
         CAST((SELECT max(date) FROM p) - max(date) AS INTEGER) AS recency FROM p GROUP BY customer_id""",
+    "kmeans_separated": """WITH p AS (SELECT o_custkey AS id, CAST(max(o_orderdate) AS DATE) AS last, COUNT(*) AS frequency,
+        SUM(CAST(round(o_totalprice, 2) AS DECIMAL(18,2))) AS monetary FROM orders GROUP BY o_custkey)
+        SELECT COUNT(*) AS customer_count,
+        round(avg((DATE '2002-01-01' - last) % 30 + id % 3 * 1000), 6) AS avg_recency,
+        round(avg(frequency + id % 3 * 5000), 6) AS avg_frequency,
+        round(avg(CAST(floor(monetary) AS BIGINT) % 1000 + id % 3 * 1000000), 6) AS avg_monetary FROM p GROUP BY id % 3""",
     "parse_json_events": """SELECT event_type AS county, COUNT(ts) AS event_count,
         CAST(SUM(CAST(round(value, 2) AS DECIMAL(18,2))) AS DOUBLE) AS total_amount FROM events GROUP BY event_type""",
     "tumbling_window_batch": f"WITH {WINDOWS}) SELECT * FROM shown",
     "stream_window": f"""WITH {WINDOWS}
         WHERE window_end <= (SELECT max(date_trunc('millisecond', ts)) - INTERVAL 1 HOUR FROM events))
         SELECT * FROM shown""",
+    "stream_arrivals": """WITH arrived AS (SELECT event_type AS county, date_trunc('millisecond', ts) AS ts,
+        CAST(round(value, 2) AS DECIMAL(18,2)) AS amount, CAST(least(2, date_diff('day', CAST((SELECT min(ts) FROM events)
+        AS DATE), CAST(ts AS DATE)) // 10 + CAST(event_id % 5 = 0 AS INTEGER)) AS INTEGER) AS arrival FROM events),
+        marks AS (SELECT CAST(k AS INTEGER) AS arrival,
+        (SELECT max(ts) FROM arrived WHERE arrived.arrival < k) - INTERVAL 1 HOUR AS mark FROM range(3) r(k)),
+        placed AS (SELECT county, amount, time_bucket(INTERVAL 5 MINUTE, ts) AS start,
+        COALESCE(time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= mark, false) AS late
+        FROM arrived JOIN marks USING (arrival))
+        SELECT CAST(start AS VARCHAR) AS window_start, county,
+        nullif(COUNT(*) FILTER (NOT late), 0) AS transaction_count,
+        CAST(SUM(amount) FILTER (NOT late) AS DOUBLE) AS total_sales, COUNT(*) FILTER (late) AS late_count FROM placed
+        WHERE start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM arrived) - INTERVAL 1 HOUR GROUP BY start, county""",
     "encrypt_round_trip": """SELECT c_custkey, c_name, c_acctbal, true AS was_hidden FROM customer""",
 }

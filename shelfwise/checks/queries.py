@@ -12,7 +12,7 @@ from shelfwise.functions.calendar import is_weekend, latest_day, within_last_mon
 from shelfwise.functions.measures import revenue
 from shelfwise.operators import audit, cleaning, curated, demand, enrichment, joins, protection, quality
 from shelfwise.operators import ranking, segments, series, sketches
-from shelfwise.plans import curate, encoding, forecasting, insights, insights_sql
+from shelfwise.plans import curate, encoding, forecasting, insights, insights_sql, refine
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sources import readers, sinks, star_schema as star
 from shelfwise.streaming import windows
@@ -655,6 +655,40 @@ def audit_summary(spark, root):
     return audit.audit_summary(readers.read_audit(spark, path, days=7, as_of=last), days=7)
 
 
+@query
+def audit_by_day(spark, root):
+    """The same week from records kept in a folder for each day: earlier days are not read."""
+    lines, path = scratch_path(spark, "audit"), scratch_path(spark, "audit-days")
+    _audit_lines(spark, root).write.text(lines)
+    audit.append_audit(readers.read_audit(spark, lines), path, by_day=True)
+    last = star.table(spark, root, "events").agg(F.max("ts")).scalar()
+    return audit.audit_summary(readers.read_audit(spark, path, days=7, as_of=last, by_day=True), days=7)
+
+
+@query
+def run_records(spark, root):
+    """The records of three jobs over the dirty files: refused for too few rows, refined, and curated."""
+    path = scratch_path(spark, "jobs")
+    sinks.export_csv(star.raw_sales(spark, root), f"{path}/raw/sales")
+    sinks.export_csv(star.raw_products(spark, root), f"{path}/raw/products")
+    job = {"partition_cols": ["county"], "price_type": star.PRICE_TYPE}
+    try:
+        refine.run_refine(
+            spark, f"{path}/raw", f"{path}/refused", f"{path}/audit", min_rows=1 << 60, strict=True, **job
+        )
+    except refine.QualityError:
+        pass
+    refine.run_refine(spark, f"{path}/raw", f"{path}/refined", f"{path}/audit", **job)
+    curate.run_curate(spark, f"{path}/refined", f"{path}/curated", f"{path}/audit")
+    records = readers.read_audit(spark, f"{path}/audit/runs")
+    number = lambda name: F.col("metrics")[name].cast("bigint").alias(name.replace(".", "_"))
+    return records.select(
+        "job_name", "status", F.size("transformations").alias("steps"),
+        F.substring_index(F.col("metrics")["error"], ":", 1).alias("error"),
+        number("sales_raw"), number("products_raw"), number("joined"), number("sales_by_county.group_count"),
+    )
+
+
 @query
 def quality_record(spark, root):
     """The quality record of the dirty sales, one row per check, with its compliance flags."""
@@ -861,6 +895,22 @@ def kmeans_profile(spark, root):
     return segments.segment_profile(segments.fit_segments(customers).transform(customers))
 
 
+@query
+def kmeans_separated(spark, root):
+    """Segments of customers moved to three places far apart, which any right fit must tell apart."""
+    place = F.col("customer_id") % 3
+    customers = segments.rfm(star.purchases(spark, root), "2002-01-01").select(
+        "customer_id",
+        (F.col("recency") % 30 + place * 1000).alias("recency"),
+        (F.col("frequency") + place * 5000).alias("frequency"),
+        (F.floor("monetary_value") % 1000 + place * 1000000).alias("monetary_value"),
+    )
+    customers = materialize(customers, "customers")
+    profile = segments.segment_profile(segments.fit_segments(customers, k=3).transform(customers))
+    means = [F.round(c, 6).alias(c) for c in ("avg_recency", "avg_frequency", "avg_monetary")]
+    return profile.select("customer_count", *means)
+
+
 # streams
 
 
@@ -914,6 +964,42 @@ def stream_window(spark, root):
     return _plain_windows(spark.read.schema(aggregated.schema).parquet(out))
 
 
+def _arrivals(spark: SparkSession, root: str) -> DataFrame:
+    """Events with the number of their arrival: ten days each, one event in five coming an arrival later."""
+    events = star.table(spark, root, "events")
+    first = events.agg(F.min("ts")).scalar()
+    tens = F.floor(F.datediff(F.col("ts").cast("date"), first.cast("date")) / 10).cast("int")
+    delayed = (F.col("event_id") % 5 == 0).cast("int")
+    return events.withColumn("arrival", F.least(F.lit(2), tens + delayed))
+
+
+@query
+def stream_arrivals(spark, root):
+    """Windows of a stream stopped and restarted from its checkpoint between three arrivals, and the late events of each."""
+    source, state, out, late = (scratch_path(spark, f"arrivals-{name}") for name in ("in", "state", "out", "late"))
+    arrivals = materialize(_arrivals(spark, root), "arrivals")
+    for number in range(3):
+        arrivals.filter(F.col("arrival") == number).drop("arrival").write.mode("append").parquet(source)
+        stream = windows.read_events(spark, "parquet", star.table(spark, root, "events").schema, source)
+        parsed = windows.parse_events(_sale_events(stream))
+        aggregated = windows.windowed_sales(parsed)
+        windows.write_windows(aggregated, out, f"{state}/windows", available_now=True).awaitTermination()
+        windows.write_late_events(parsed, late, f"{state}/late", available_now=True).awaitTermination()
+    kept = windows.late_events(spark, late).select(
+        F.window("timestamp", "5 minutes").alias("window"), F.col("county").alias("late_county")
+    )
+    missed = kept.groupBy("window.start", "late_county").agg(F.count(F.lit(1)).alias("late_count"))
+    found = spark.read.schema(aggregated.schema).parquet(out)
+    same = (F.col("window_start") == F.col("start")) & (F.col("county") == F.col("late_county"))
+    return found.join(missed, same, "full").select(
+        F.coalesce("window_start", "start").cast("timestamp_ntz").cast("string").alias("window_start"),
+        F.coalesce("county", "late_county").alias("county"),
+        "transaction_count",
+        F.col("total_sales").cast("double").alias("total_sales"),
+        F.coalesce("late_count", F.lit(0)).alias("late_count"),
+    )
+
+
 # protection
 
 

@@ -38,17 +38,16 @@ def run_curate(
     """Write the curated tables; gives the path of each.
 
     The sums are stored once in the shared folder, so each of the five writes reads a small
-    table instead of the refined layer. Metrics come from what was written.
+    table instead of the refined layer. Metrics come from what was written. With ``audit_path`` a run that
+    raises leaves a FAILED record.
     """
-    refined = readers.read_refined(spark, refined_path)
-    sums = materialize(curated_sums(refined), "curated-sums")
-    paths = sinks.write_curated(curated_tables(sums), curated_root)
-    if audit_path:
-        metrics = {}
-        for name, path in paths.items():
+    steps = [f"aggregate {name}" for name in sinks.CURATED_LAYOUT]
+    runs = f"{audit_path}/runs" if audit_path else None
+    with audit.recorded_run(spark, runs, "curate", [refined_path], curated_root, steps) as metrics:
+        refined = readers.read_refined(spark, refined_path)
+        sums = materialize(curated_sums(refined), "curated-sums")
+        paths = sinks.write_curated(curated_tables(sums), curated_root)
+        for name, path in paths.items() if audit_path else ():
             row = curated.aggregate_metrics(readers.read_layer(spark, path)).first()
             metrics.update({f"{name}.{key}": value for key, value in row.asDict().items()})
-        steps = [f"aggregate {name}" for name in paths]
-        record = audit.run_record(spark, "curate", [refined_path], curated_root, steps, metrics)
-        audit.append_audit(record, f"{audit_path}/runs")
     return paths

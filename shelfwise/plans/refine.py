@@ -49,35 +49,32 @@ def run_refine(
     row counts. The checks read a few columns of the written table; none of these numbers
     changes if tasks run twice. A failed check is reported;
     in strict mode the table is first written to the scratch folder, and ``refined_path`` is
-    left alone unless the checks pass.
+    left alone unless the checks pass. With ``audit_path`` a run that raises leaves a FAILED record.
     """
-    raw_sales, raw_products = readers.read_raw(spark, raw_root)
-    refined = refine(raw_sales, raw_products, price_type)
-    if strict:
-        staged = scratch_path(spark, "refined")
-        refined.write.parquet(staged)
-        refined = spark.read.schema(refined.schema).parquet(staged)
-        _raise_if_failed(refined, min_rows)
-    sinks.write_refined(refined, refined_path, partition_cols)
-
-    written = readers.read_layer(spark, refined_path, schema=refined.schema)
-    checks = quality.quality_checks(written, min_rows)
-    check_rows = checks.collect()
-    passed = all(row.passed for row in check_rows)
-    counts = {}
-    if count_raw:
-        steps = step_counts({"sales_raw": raw_sales, "products_raw": raw_products})
-        counts = {row.step: row.row_count for row in steps.collect()}
-    counts["joined"] = next(row.actual for row in check_rows if row.check == quality.ROW_COUNT)
-    if audit_path:
-        steps = ["fill missing values", "cast price and quantity", "drop negative values", "join products"]
-        run = audit.run_record(
-            spark, "refine", [f"{raw_root}/sales", f"{raw_root}/products"], refined_path, steps, counts
-        )
-        audit.append_audit(run, f"{audit_path}/runs")
-        stored = spark.createDataFrame(check_rows, checks.schema)
-        audit.append_audit(audit.quality_record(stored, "refine"), f"{audit_path}/quality")
-    return RefineResult(refined_path, check_rows, passed, counts)
+    steps = ["fill missing values", "cast price and quantity", "drop negative values", "join products"]
+    inputs = [f"{raw_root}/sales", f"{raw_root}/products"]
+    runs = f"{audit_path}/runs" if audit_path else None
+    with audit.recorded_run(spark, runs, "refine", inputs, refined_path, steps) as counts:
+        raw_sales, raw_products = readers.read_raw(spark, raw_root)
+        refined = refine(raw_sales, raw_products, price_type)
+        if strict:
+            staged = scratch_path(spark, "refined")
+            refined.write.parquet(staged)
+            refined = spark.read.schema(refined.schema).parquet(staged)
+            _raise_if_failed(refined, min_rows)
+        sinks.write_refined(refined, refined_path, partition_cols)
+
+        written = readers.read_layer(spark, refined_path, schema=refined.schema)
+        checks = quality.quality_checks(written, min_rows)
+        check_rows = checks.collect()
+        if count_raw:
+            raw_counts = step_counts({"sales_raw": raw_sales, "products_raw": raw_products})
+            counts.update((row.step, row.row_count) for row in raw_counts.collect())
+        counts["joined"] = next(row.actual for row in check_rows if row.check == quality.ROW_COUNT)
+        if audit_path:
+            stored = spark.createDataFrame(check_rows, checks.schema)
+            audit.append_audit(audit.quality_record(stored, "refine"), f"{audit_path}/quality")
+    return RefineResult(refined_path, check_rows, all(row.passed for row in check_rows), dict(counts))
 
 
 def _raise_if_failed(df: DataFrame, min_rows: int) -> None:

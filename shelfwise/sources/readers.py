@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfwise import schemas
 
@@ -75,14 +75,17 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 
 
 def read_audit(
-    spark: SparkSession, path: str, days: int | None = None, as_of=None, whole_files: bool = False
+    spark: SparkSession, path: str, days: int | None = None, as_of=None, whole_files: bool = False,
+    by_day: bool = False,
 ) -> DataFrame:
     """Audit records of the last ``days`` days before ``as_of``; those unreadable or undated are left out.
 
     ``whole_files`` reads files that hold one indented document each; the default is
-    one record a line, which splits across tasks.
+    one record a line, which splits across tasks. ``by_day`` says that the records lie in a folder for
+    each day; folders of earlier days are then not read.
     """
-    schema = T.StructType([*schemas.AUDIT_RECORD.fields, T.StructField(CORRUPT, T.StringType())])
+    day = [T.StructField(schemas.AUDIT_DAY, T.DateType())] if by_day else []
+    schema = T.StructType([*schemas.AUDIT_RECORD.fields, T.StructField(CORRUPT, T.StringType()), *day])
     records = (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
@@ -92,10 +95,16 @@ def read_audit(
         .filter(F.col(CORRUPT).isNull() & F.col("timestamp").isNotNull())
         .drop(CORRUPT)
     )
+    if by_day and days is not None:
+        records = records.filter(F.col(schemas.AUDIT_DAY) >= _cutoff(days, as_of).cast("date"))
+    records = records.drop(schemas.AUDIT_DAY)
     return records if days is None else recent_records(records, days, as_of)
 
 
 def recent_records(records: DataFrame, days: int, as_of=None) -> DataFrame:
+    return records.filter(F.col("timestamp").try_cast("timestamp") >= _cutoff(days, as_of))
+
+
+def _cutoff(days: int, as_of=None) -> Column:
     now = F.current_timestamp() if as_of is None else as_of
-    cutoff = F.timestamp_add("DAY", F.lit(-days), now.cast("timestamp"))
-    return records.filter(F.col("timestamp").try_cast("timestamp") >= cutoff)
+    return F.timestamp_add("DAY", F.lit(-days), now.cast("timestamp"))

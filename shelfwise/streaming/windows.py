@@ -60,6 +60,46 @@ def windowed_sales(
     )
 
 
+def write_late_events(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    time: str = "timestamp",
+    size: str = "5 minutes",
+    watermark: str = "1 hour",
+    available_now: bool = False,
+    every: str = "1 minute",
+) -> StreamingQuery:
+    """Keep the events that ``windowed_sales`` drops: those whose window the watermark of earlier batches closed.
+
+    Each batch writes its late events to ``path/late/batch=N`` and the latest event time so far, one row, to
+    ``path/latest/batch=N``; both are overwritten if the batch is run again. The two streams agree where they
+    take the same batches, that is with the same source, trigger and files a batch. Events without a time
+    are in no window and not late. Read the result with ``late_events``.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        latest = batch.agg(F.max(time).alias("latest"))
+        if number:
+            before = spark.read.schema(latest.schema).parquet(f"{path}/latest/batch={number - 1}")
+            mark = before.scalar()
+            latest = latest.union(before).agg(F.max("latest").alias("latest"))
+        else:
+            mark = F.lit(None).cast("timestamp")
+        closed = F.window(time, size)["end"] <= mark - F.expr(f"INTERVAL {watermark}")
+        batch.filter(closed).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+        latest.write.mode("overwrite").parquet(f"{path}/latest/batch={number}")
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    return events.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def late_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
+    """What ``write_late_events`` kept, with the number of its batch."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{path}/late")
+
+
 def write_windows(
     windows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", available_now: bool = False,
     every: str = "1 minute",

@@ -2,10 +2,12 @@ import datetime
 import json
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F, types as T
 
+from shelfwise import schemas
 from shelfwise.operators import audit, protection, quality, segments
+from shelfwise.plans import curate
 from shelfwise.sources import readers
 
 
@@ -89,6 +91,56 @@ def test_audit_round_trip(spark, sales, tmp_path):
     assert readers.read_audit(spark, path, days=7, as_of=later).count() == 0
 
 
+def test_audit_by_day_reads_only_the_days_asked_for(spark, tmp_path):
+    path = str(tmp_path / "days")
+    for day in range(1, 29):
+        record = audit.run_record(spark, f"job{day}", ["in"], "out", ["a"], {}, "SUCCESS" if day % 2 else "FAILED")
+        audit.append_audit(record.withColumn("timestamp", F.lit(f"2024-02-{day:02d}T10:30:00")), path, by_day=True)
+    undated = audit.run_record(spark, "undated", [], "", [], {}).withColumn("timestamp", F.lit("never"))
+    audit.append_audit(undated, path, by_day=True)
+    last = F.lit("2024-02-28T10:30:00")
+    recent = readers.read_audit(spark, path, days=7, as_of=last, by_day=True)
+    assert recent.columns == [f.name for f in schemas.AUDIT_RECORD.fields]
+    assert sorted(r.job_name for r in recent.collect()) == [f"job{day}" for day in range(21, 29)]
+    scan = next(line for line in plan(recent).splitlines() if "FileScan json" in line)
+    assert "PartitionFilters: [isnotnull(day" in scan
+    assert readers.read_audit(spark, path, by_day=True).count() == 29
+    assert audit.audit_summary(recent, 7).first().failed_jobs == 4
+
+
+def test_a_run_that_raises_leaves_a_failed_record(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    with pytest.raises(ZeroDivisionError):
+        with audit.recorded_run(spark, path, "job", ["in"], "out", ["a", "b"]) as metrics:
+            metrics["rows"] = 5
+            metrics["rows"] / 0
+    with audit.recorded_run(spark, path, "job", ["in"], "out", ["a"]) as metrics:
+        metrics["rows"] = 7
+    failed, done = sorted(readers.read_audit(spark, path).collect(), key=lambda r: r.status)
+    assert (failed.status, done.status) == ("FAILED", "SUCCESS")
+    assert failed.metrics == {"rows": "5", "error": "ZeroDivisionError: division by zero"}
+    assert done.metrics == {"rows": "7"} and failed.transformations == ["a", "b"]
+    summary = audit.audit_summary(readers.read_audit(spark, path)).first()
+    assert (summary.total_jobs, summary.successful_jobs, summary.failed_jobs) == (2, 1, 1)
+
+
+def test_the_error_of_a_run_outlives_an_audit_that_fails(spark, tmp_path):
+    (tmp_path / "file").write_text("")
+    with pytest.raises(KeyError):
+        with audit.recorded_run(spark, str(tmp_path / "file" / "below"), "job", [], "", []):
+            raise KeyError("missing")
+    with pytest.raises(KeyError):
+        with audit.recorded_run(spark, None, "job", [], "", []):
+            raise KeyError("missing")
+
+
+def test_jobs_record_their_failures(spark, tmp_path):
+    with pytest.raises(Exception):
+        curate.run_curate(spark, str(tmp_path / "none"), str(tmp_path / "curated"), str(tmp_path / "audit"))
+    record = readers.read_audit(spark, str(tmp_path / "audit" / "runs")).first()
+    assert (record.job_name, record.status) == ("curate", "FAILED") and "AnalysisException" in record.metrics["error"]
+
+
 def test_audit_documents_of_many_lines(spark, tmp_path):
     (tmp_path / "run.json").write_text(
         json.dumps({"job_name": "j", "timestamp": "2023-01-01T00:00:00", "status": "SUCCESS",

@@ -142,7 +142,7 @@ def test_catalog_tables(spark, sales, tmp_path):
     sinks.insert_partitions(kitui, "sales_managed", ["county"], overwrite=True)
     assert spark.table("sales_managed").count() == 5
     assert spark.table("sales_managed").filter("county = 'Kitui'").first().quantity == 9
-    assert spark.conf.get(sinks.OVERWRITE_MODE).lower() == "static"
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     sinks.create_table(sales, "sales_plain")
     sales.write.insertInto("sales_plain")
     sinks.create_table_as(curated.sales_by_county(sales, ordered=False), "by_county", ["county"])
