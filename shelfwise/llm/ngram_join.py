@@ -167,18 +167,24 @@ def _prefixes(documents: DataFrame, order, width: int, percent: int) -> DataFram
 
 
 def _lists(classes: DataFrame, percent: int) -> DataFrame:
-    """(token, s, k): classes posted under the n-grams of their prefixes, where several are; s is the logarithm of the size."""
+    """(token, s, k, copies): classes posted under the n-grams of their prefixes, where several are; s is the logarithm of the size.
+
+    Texts that share a passage share many n-grams, whose lists are the same: of those with the same members, as 128
+    bits of them tell, one is kept, with their number.
+    """
     step = math.log(100 / percent)  # sets whose s differ by more than one can't be similar
     postings = classes.select("k", F.floor(F.log("n") / step).cast("int").alias("s"), F.explode("prefix").alias("token"))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    return postings.join(shared.select("token"), "token")
+    digests = [F.bit_xor(F.xxhash64(F.lit(i), "k")).alias(f"digest_{i}") for i in range(2)]
+    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members"), *digests).filter("members > 1")
+    kept = shared.groupBy("members", "digest_0", "digest_1").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("copies"))
+    return postings.join(kept.select("token", "copies"), "token")
 
 
 def _stars(lists: DataFrame) -> DataFrame:
     """(a, b): for each class b the class a that is the smallest of a list, or of its neighbours by size in it, most often."""
     smallest = lists.groupBy("token", "s").agg(F.min("k").alias("a"))
     offered = smallest.union(smallest.select("token", (F.col("s") + 1).alias("s"), "a"))
-    pairs = lists.join(offered, ["token", "s"]).filter("a <> k").groupBy("k", "a").agg(F.count(F.lit(1)).alias("n"))
+    pairs = lists.join(offered, ["token", "s"]).filter("a <> k").groupBy("k", "a").agg(F.sum("copies").alias("n"))
     return pairs.groupBy(F.col("k").alias("b")).agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
 
 
