@@ -336,6 +336,13 @@ ORACLES: dict[str, str] = {
         SUM(price * quantity) AS revenue, SUM(quantity) AS quantity FROM refined GROUP BY ALL)
         SELECT category, CAST(SUM(revenue) AS DOUBLE) AS total_revenue,
         CAST(SUM(quantity) AS BIGINT) AS total_quantity, COUNT(*) AS product_days FROM days GROUP BY category""",
+    "bucketed_layouts": f"""WITH {SALES},
+        bought AS (SELECT o_custkey, SUM(CAST(round(o_totalprice, 2) AS DECIMAL(18,2))) AS amount FROM orders
+        WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY o_custkey)
+        SELECT 'sales_data' AS layout, CAST(COUNT(DISTINCT product_id) AS BIGINT) AS key_count, COUNT(*) AS row_count,
+        CAST(SUM(quantity) AS DOUBLE) AS total FROM sales
+        UNION ALL SELECT 'customer_data', COUNT(*), COUNT(*), round(CAST(SUM(amount) AS DOUBLE), 2) FROM bought
+        UNION ALL SELECT 'product_data', COUNT(DISTINCT p_partkey), COUNT(*), CAST(COUNT(*) AS DOUBLE) FROM part""",
     "clean_sales": f"""WITH {RAW} SELECT * FROM (SELECT product_id, CAST(TRY_CAST(date AS DATE) AS VARCHAR) AS date,
         county, TRY_CAST(coalesce(quantity, '0') AS INTEGER) AS quantity,
         CAST(TRY_CAST(coalesce(price, '0.0') AS FLOAT) AS DOUBLE) AS price, l_orderkey, l_linenumber FROM raw_sales)

@@ -231,6 +231,28 @@ def bucketed_join(spark, root):
     )
 
 
+@query
+def bucketed_layouts(spark, root):
+    """Each of the three layouts written whole and read back by its bucket column, which moves no rows."""
+    parts = star.table(spark, root, "part").select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_brand").alias("subcategory"))
+    sales = star.sales(spark, root).withColumns({"year": F.year("date"), "month": F.month("date")})
+    tables = {
+        "sales_data": (sales, F.sum("quantity").cast("double")),
+        "customer_data": (star.customers(spark, root), F.sum("amount").cast("double")),
+        "product_data": (star.products(spark, root).join(parts, "product_id"), F.count_distinct("category", "subcategory").cast("double")),
+    }
+    found = None
+    for layout, (df, measure) in tables.items():
+        name = _table_name()
+        sinks.write_layout(df, name, layout, scratch_path(spark, layout), least_rows=PARTITION_ROWS)
+        by_key = readers.read_table(spark, name).groupBy(*sinks.BUCKETED_LAYOUTS[layout][1]).agg(F.count(F.lit(1)).alias("n"), measure.alias("total"))
+        row = by_key.agg(
+            F.lit(layout).alias("layout"), F.count(F.lit(1)).alias("key_count"), F.sum("n").alias("row_count"), F.round(F.sum("total"), 2).alias("total")
+        )
+        found = row if found is None else found.union(row)
+    return found
+
+
 # cleaning, projections and filters
 
 

@@ -238,3 +238,18 @@ def write_bucketed(
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.bucketBy(buckets, *bucket_cols).sortBy(*bucket_cols).saveAsTable(name)
+
+
+def write_layout(
+    df: DataFrame, name: str, layout: str, location: str | None = None, least_rows: int = 100_000
+) -> list[str]:
+    """A table by one of ``BUCKETED_LAYOUTS``, with as many of its partition columns as the rows fill.
+
+    Each partition holds a file for each bucket, so the longest beginning of the partition columns is taken
+    whose files get ``least_rows`` rows on average; buckets stay as they are. Gives the partition columns.
+    """
+    partition_cols, bucket_cols, buckets = BUCKETED_LAYOUTS[layout]
+    grains = {str(n): F.struct(*partition_cols[:n]) for n in range(len(partition_cols), 0, -1)}
+    taken = list(partition_cols[: int(layout_by_size(df, grains, (), least_rows * buckets) or 0)])
+    write_bucketed(df, name, taken, bucket_cols, buckets, location)
+    return taken

@@ -108,3 +108,13 @@ def purchases(spark: SparkSession, root: str) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("date"),
         F.round("o_totalprice", 2).cast("decimal(18,2)").alias("amount"),
     )
+
+
+def customers(spark: SparkSession, root: str) -> DataFrame:
+    """One row per customer with a purchase: customer_id, registration_year (of the first one), purchases, amount, county."""
+    bought = purchases(spark, root).groupBy("customer_id").agg(
+        F.year(F.min("date")).alias("registration_year"), F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount")
+    )
+    nations = table(spark, root, "nation").select("n_nationkey", F.col("n_name").alias("county"))
+    known = table(spark, root, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("n_nationkey"))
+    return bought.join(known, "customer_id").join(nations, "n_nationkey", "left").drop("n_nationkey")

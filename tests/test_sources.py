@@ -158,6 +158,25 @@ def test_bucketed_join_does_not_shuffle(spark, sales, products):
     assert sinks.BUCKETED_LAYOUTS["sales_data"][2] == 50
 
 
+def test_layouts_are_applied_by_size(spark, sales, products):
+    dated = sales.withColumns({"year": F.year("date"), "month": F.month("date")})
+    assert sinks.write_layout(dated, "l_sales", "sales_data", least_rows=0) == ["year", "month", "county"]
+    assert sinks.write_layout(dated, "l_whole", "sales_data") == []
+    sub = products.withColumn("subcategory", F.col("category"))
+    sinks.write_layout(sub, "l_products", "product_data", least_rows=0)
+    stored = spark.table("l_sales")
+    assert sorted(rows(stored.select(*dated.columns)), key=str) == sorted(rows(dated), key=str)
+    assert "Exchange" not in plan(stored.groupBy("product_id").count())
+    setting = "spark.sql.bucketing.coalesceBucketsInJoin.enabled"
+    spark.conf.set(setting, "true")  # 50 buckets are read as the 25 of the other side
+    try:
+        joined = stored.hint("merge").join(spark.table("l_products"), "product_id")
+        assert "Exchange" not in plan(joined)
+        assert joined.count() == dated.join(sub, "product_id").count()
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_csv_export(spark, sales, tmp_path):
     path = str(tmp_path / "out")
     sinks.export_csv(sales, path)
