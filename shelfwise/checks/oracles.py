@@ -529,6 +529,14 @@ ORACLES: dict[str, str] = {
         1 - sum((y - p) ** 2) / (var_pop(y) * COUNT(*)) AS r2 FROM predicted GROUP BY model)
         SELECT model, n, round(rmse, 5) AS rmse, round(mae, 5) AS mae, round(r2, 5) AS r2,
         rmse = min(rmse) OVER () AS is_best FROM errors""",
+    "step_accuracy": f"""WITH {SALES}, days AS (SELECT DISTINCT product_id, county, date FROM sales),
+        known AS (SELECT * FROM days WHERE date <= (SELECT MAX(date) FROM sales) - INTERVAL 30 DAY),
+        matched AS (SELECT CAST(product_id AS BIGINT) % 3 AS miss,
+        CASE WHEN dayofweek(date) IN (0, 6) THEN 7 ELSE 3 END + CAST(product_id AS BIGINT) % 3 AS quantity
+        FROM days SEMI JOIN (SELECT DISTINCT product_id, county FROM known) USING (product_id, county)
+        WHERE date > (SELECT MAX(date) FROM known) AND date <= (SELECT MAX(date) FROM known) + INTERVAL 30 DAY)
+        SELECT COUNT(*) AS n, round(sqrt(AVG(miss * miss)), 5) AS rmse, round(AVG(miss), 5) AS mae,
+        round(1 - SUM(miss * miss) / (VAR_POP(quantity) * COUNT(*)), 5) AS r2 FROM matched""",
     "step_forecast": f"""WITH {SALES}, last AS (SELECT DISTINCT product_id, county FROM sales), future AS (
         SELECT last.*, CAST((SELECT max(date) FROM sales) + CAST(k AS INTEGER) AS DATE) AS date FROM last, range(1, 15) r(k))
         SELECT product_id, county, CAST(date AS VARCHAR) AS date,

@@ -845,11 +845,11 @@ def fitted_line(spark, root):
     return made.select("model", "n", *[F.round(c, 5).alias(c) for c in ("rmse", "mae", "r2")], "is_best")
 
 
-def _step_models(spark: SparkSession, root: str) -> tuple[DataFrame, forecasting.TrainedModels]:
-    """Daily rows whose quantity is a step, 7 on weekends and 3 on other days, and trees that learn it."""
+def _step_models(spark: SparkSession, root: str, unseen: int = 0) -> tuple[DataFrame, forecasting.TrainedModels]:
+    """Daily rows whose quantity is a step, 7 on weekends and 3 on other days, and trees that learn it without the last days."""
     daily = series.daily_series(star.sales(spark, root))
     step = F.when(is_weekend(F.col("date")) == 1, 7).otherwise(3).cast("long")
-    daily = materialize(daily.withColumn("quantity", step), "steps")
+    daily = materialize(daily.withColumn("quantity", step).filter(F.col("date") <= F.date_sub(_last_day(spark, root), unseen)), "steps")
     table = materialize(series.sales_features(daily), "step-features")
     train, test = forecasting.split_rows(table, [*series.SERIES, "date"])
     names = [n for n in forecasting.ESTIMATORS if n != "linear_regression"]
@@ -864,6 +864,17 @@ def step_forecast(spark, root):
     return plain(made.withColumn("forecast_quantity", F.round("forecast_quantity", 6)).select("product_id", "county", "date", "forecast_quantity"))
 
 
+@query
+def step_accuracy(spark, root):
+    """Trees that learnt the step without the last 30 days, measured on them against the step raised by product."""
+    known, trained = _step_models(spark, root, unseen=30)
+    step = F.when(is_weekend(F.col("date")) == 1, 7).otherwise(3)
+    raised = step + F.pmod(F.col("product_id").cast("long"), F.lit(3))
+    actuals = series.daily_series(star.sales(spark, root)).withColumn("quantity", raised.cast("long"))
+    errors = forecasting.forecast_accuracy(actuals, forecasting.forecast(trained, known))
+    return errors.select("n", *[F.round(c, 5).alias(c) for c in ("rmse", "mae", "r2")])
+
+
 @query
 def step_importance(spark, root):
     """What boosted trees fitted to the step say of their features: the weekend alone matters."""
