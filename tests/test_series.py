@@ -202,3 +202,32 @@ def test_stock_levels(spark):
 
 def test_latest_day_is_lazy(history):
     assert history.filter(F.col("date") == latest_day(history)).count() == 2
+
+
+def test_trees_on_equal_rows_are_fitted_on_weighted_ones(spark):
+    """Boosted trees are the same as on single rows, and a forest reads no more rows than the kinds allow."""
+    rows = spark.range(4000).select(
+        F.col("id").cast("string").alias("product_id"), (F.col("id") % 3).cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y")
+    ).withColumn("quantity", 5 * F.col("x") + F.col("x") * F.col("y"))
+    merged = forecasting.merge_equal(rows, ["x", "y", "quantity"], ["product_id"])
+    assert merged.count() <= 6 * forecasting.EQUAL_ROWS
+    assert merged.agg(F.sum(forecasting.ROW_WEIGHT)).first()[0] == 4000
+    assert not forecasting.takes_weights(forecasting.GBTRegressor(subsamplingRate=0.5))
+    assert not forecasting.takes_weights(forecasting.GBTRegressor(minInstancesPerNode=2))
+    assert not forecasting.takes_weights(forecasting.LinearRegression())
+    weighted = []
+
+    class Watched(forecasting.GBTRegressor):
+        def fit(self, dataset, params=None):
+            weighted.append((self.isDefined("weightCol"), dataset.count()))
+            return super().fit(dataset, params)
+
+    def fit(maker):
+        return forecasting.train_models(rows, rows, feature_columns=["x", "y"], estimators={"trees": maker})
+
+    many = fit(lambda label: Watched(labelCol=label, maxDepth=3, maxIter=3, seed=1))
+    plain = fit(lambda label: Watched(labelCol=label, maxDepth=3, maxIter=3, seed=1, minInstancesPerNode=2))
+    assert weighted[0][0] and weighted[0][1] == merged.count() and weighted[1] == (False, 4000)
+    assert many.metrics["trees"] == pytest.approx(plain.metrics["trees"])
+    forest = fit(lambda label: forecasting.ESTIMATORS["random_forest"](label).setNumTrees(5))
+    assert not forest.failed and forest.metrics["trees"]["n"] == 4000
