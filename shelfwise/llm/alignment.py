@@ -37,7 +37,7 @@ PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 20_000_000
 BLOCK_UNITS = 400_000
 #: Characters of new units that are encoded at once.
-ENCODE_CHARS = 200_000
+ENCODE_CHARS = 50_000
 _SPACE_SIGN = "▁"
 _UNITS = re.compile(r"(?<=\S) (?=\S)")
 

@@ -268,3 +268,14 @@ def test_queries_against_sql(spark, tables, name):
     found = QUERIES[name](spark, tables)
     assert [c[0] for c in con.description] == found.columns
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_alignment_encodes_little_at_once(monkeypatch):
+    """What the tokenizers return for a unit takes far more memory than its text."""
+    from shelfwise.llm import alignment
+
+    sizes, align = [], alignment._align
+    monkeypatch.setattr(alignment, "_align", lambda t, units: (sizes.append(sum(map(len, units))), align(t, units))[1])
+    units = [f"word{i}" for i in range(20_000)]
+    assert alignment.Aligned(Tokenizers.load(), units).valid.all()
+    assert sum(sizes) == sum(map(len, units)) and max(sizes) < 60_000
