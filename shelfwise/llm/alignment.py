@@ -8,7 +8,8 @@ since then.
 
 A text is taken apart at single spaces between other characters. No token of A or B crosses such a
 place, and what stands on one side has no influence on the tokens of the other, so the alignment of
-a text is that of its units, one after another. A unit is encoded and aligned once in a block of texts.
+a text is that of its units, one after another. A unit is encoded and aligned once in a block of texts,
+many units at a time as one run with single spaces between them.
 
 What is counted over the corpus (how often an A id and a B id overlap) is summed within a block
 first; a block gets back the counts of its own pairs only.
@@ -37,9 +38,15 @@ PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 20_000_000
 BLOCK_UNITS = 400_000
 #: Characters of new units that are encoded at once.
-ENCODE_CHARS = 50_000
+ENCODE_CHARS = 20_000
 _SPACE_SIGN = "▁"
 _UNITS = re.compile(r"(?<=\S) (?=\S)")
+_WIDE_SPACE = re.compile(r"\s[ ]|[ ](?:\s|\Z)")
+
+
+def _split(text: str) -> list[str]:
+    """The units of a text that isn't empty; where each space stands alone between other characters, they are its words."""
+    return _UNITS.split(text) if text[0] == " " or _WIDE_SPACE.search(text) else text.split(" ")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -82,14 +89,18 @@ class Tokenizers:
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
 
-    def encode_a(self, units: list[str]) -> tuple[list[list[int]], list[list[tuple[int, int]]]]:
-        """Ids and character offsets in the space and the unit."""
-        made = self.a.encode_batch([" " + u for u in units], add_special_tokens=False)
+        # each id as text with what follows it: another id of its side, then the other side (A) or the next group (B)
+        self.names = [b"%d%c" % (i, c) for n, follows in ((len(self.a_bytes), b",|"), (size, b",;")) for i in range(n) for c in follows]
+        self.widths = np.array(list(map(len, self.names)), np.int64)
+
+    def encode_a(self, runs: list[str]) -> tuple[list[list[int]], list[list[tuple[int, int]]]]:
+        """Ids and character offsets in the space and the run."""
+        made = self.a.encode_batch([" " + r for r in runs], add_special_tokens=False)
         return [e.ids for e in made], [e.offsets for e in made]
 
-    def encode_b(self, units: list[str]) -> tuple[list[list[int]], list[list[tuple[int, int]]]]:
-        """Ids and character offsets in the unit; the space before it is the model's own."""
-        made = self.b.encode(units, return_type="offset_mapping", num_threads=1)
+    def encode_b(self, runs: list[str]) -> tuple[list[list[int]], list[list[tuple[int, int]]]]:
+        """Ids and character offsets in the run; the space before it is the model's own."""
+        made = self.b.encode(runs, return_type="offset_mapping", num_threads=1)
         return [e["ids"] for e in made], [e["offsets"] for e in made]
 
 
@@ -118,65 +129,89 @@ class Aligned:
     def __init__(self, tokenizers: Tokenizers, units: list[str]):
         valid, counts, pairs = [np.zeros(0, bool)], [np.zeros((0, 4), np.int64)], [np.zeros(0, np.uint32)]
         self.texts: list[bytes] = []
-        first = chars = 0
-        for i, unit in enumerate(units, 1):
-            chars += len(unit)
-            if chars >= ENCODE_CHARS or i == len(units):
-                for known, made in zip((valid, counts, self.texts, pairs), _align(tokenizers, units[first:i])):
-                    known += made if known is self.texts else [made]
-                first, chars = i, 0
+        chars = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        starts = np.flatnonzero(np.diff(chars // ENCODE_CHARS, prepend=-1)).tolist()
+        for first, stop in zip(starts, [*starts[1:], len(units)]):
+            for known, made in zip((valid, counts, self.texts, pairs), _align(tokenizers, units[first:stop])):
+                known += made if known is self.texts else [made]
         self.valid, self.counts, self.pairs = map(np.concatenate, (valid, counts, pairs))
         self.offsets = np.concatenate([[0], np.cumsum(self.counts[:, 3])])
 
 
-def _align(t: Tokenizers, units: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """(valid, counts, groups as text, pairs) of some units, all at once."""
-    raw = [(" " + u).encode() for u in units]
-    joined = b"".join(raw)
-    stops = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))  # where units end
-    first_char = np.cumsum([0, *(len(u) + 1 for u in units)])
-    ids, spans, lengths = [], [], []
+def _runs(units: list[str]) -> list[str]:
+    """The units, with single spaces between those that may stand side by side in a text."""
+    run = " ".join(units)
+    if not _WIDE_SPACE.search(run):
+        return [run]
+    runs, first = [], 0
+    for i in range(1, len(units)):
+        if units[i - 1][-1].isspace() or units[i][0].isspace():
+            runs.append(" ".join(units[first:i]))
+            first = i
+    return [*runs, " ".join(units[first:])]
+
+
+def _align(t: Tokenizers, units: list[str], joined_units: bool = True) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """(valid, counts, groups as text, pairs) of some units, all at once.
+
+    Units that may follow one another are encoded as one run, as the tokens of each are the same there. Where
+    the tokens of a run don't give back its bytes, or don't end where its units do, each unit is encoded alone.
+    """
+    runs = _runs(units) if joined_units else units
+    joined = (" " + " ".join(units)).encode()
+    data = np.frombuffer(joined, np.uint8)
+    byte_at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    stops = byte_at[np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1)]  # where units end
+    first_char = np.cumsum([0, *(len(r) + 1 for r in runs)])
+    ids, ends, lengths = [], [], []
     valid = np.ones(len(units), bool)
-    # A's spans count the space before the unit, B's don't
-    for (made, places), known, sizes, shift in ((t.encode_a(units), t.a_bytes, t.a_sizes, 0), (t.encode_b(units), t.b_bytes, t.b_sizes, 1)):
+    # A's spans count the space before the run, B's don't
+    for (made, places), known, sizes, shift in ((t.encode_a(runs), t.a_bytes, t.a_sizes, 0), (t.encode_b(runs), t.b_bytes, t.b_sizes, 1)):
         n = np.fromiter(map(len, made), np.int64, len(made))
         flat = np.fromiter(chain.from_iterable(made), np.int64, int(n.sum()))
-        places = np.fromiter(chain.from_iterable(chain.from_iterable(places)), np.int64, 2 * len(flat)).reshape(-1, 2)
+        total = np.cumsum(sizes[flat])
+        at = np.searchsorted(total, stops)
+        if b"".join(map(known.__getitem__, flat.tolist())) != joined or not n.all() or not np.array_equal(total[np.minimum(at, len(total) - 1)], stops):
+            if joined_units:
+                return _align(t, units, False)
+            valid &= np.array([b"".join(map(known.__getitem__, m)) == (" " + u).encode() for m, u in zip(made, units)], bool)
+            continue
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(places)), np.int64, 2 * len(flat)).reshape(-1, 2)
+        spans += np.repeat(first_char[:-1] + shift, n)[:, None]
         ids.append(flat)
-        spans.append(places + np.repeat(first_char[:-1] + shift, n)[:, None])
-        lengths.append(n)
-        decoded = b"".join(map(known.__getitem__, flat.tolist()))
-        if decoded != joined or not n.all() or not np.array_equal(np.cumsum(sizes[flat])[np.cumsum(n) - 1], stops):
-            valid &= np.array([b"".join(map(known.__getitem__, m)) == r for m, r in zip(made, raw)], bool)
+        ends.append(_exact_ends(spans, sizes[flat], byte_at))
+        lengths.append(np.diff(at + 1, prepend=0))
     if not valid.all():
         good = np.flatnonzero(valid).tolist()
         counts, texts, pairs = np.zeros((len(units), 4), np.int64), [b""] * len(units), np.zeros(0, np.uint32)
         if good:
-            _, counts[valid], made, pairs = _align(t, [units[i] for i in good])
+            _, counts[valid], made, pairs = _align(t, [units[i] for i in good], False)
             for i, text in zip(good, made):
                 texts[i] = text
         return valid, counts, texts, pairs
 
-    data = np.frombuffer(joined, np.uint8)
-    byte_at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-    a, b = ids
-    a_ends, b_ends = _exact_ends(spans[0], t.a_sizes[a], byte_at), _exact_ends(spans[1], t.b_sizes[b], byte_at)
-    cuts = np.union1d(a_ends, b_ends)  # what lies between two cuts is in one token of A and in one of B: a link
-    of_a, of_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
-    pairs = ((b[of_b] << 16) | a[of_a]).astype(np.uint32)
-    both = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    groups, links = np.searchsorted(both, stops, "right"), np.searchsorted(cuts, stops, "right")
+    (a, b), (a_ends, b_ends) = ids, ends
+    here = np.zeros((2, len(data) + 1), bool)
+    here[0, a_ends] = here[1, b_ends] = True
+    before = np.cumsum(here, axis=1) - here  # how many tokens end before each byte
+    cut, shared = here[0] | here[1], here[0] & here[1]
+    cuts, both = np.flatnonzero(cut), np.flatnonzero(shared)  # what lies between two cuts is in one token of A and in one of B: a link
+    pairs = ((b[before[1, cuts]] << 16) | a[before[0, cuts]]).astype(np.uint32)
+    groups, links = np.cumsum(shared)[stops], np.cumsum(cut)[stops]
     counts = np.stack([*lengths, np.diff(groups, prepend=0), np.diff(links, prepend=0)], axis=1)
-    names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    parts, i, j = [], 0, 0
-    for x, y in zip((np.searchsorted(a_ends, both) + 1).tolist(), (np.searchsorted(b_ends, both) + 1).tolist()):
-        if x == i + 1 and y == j + 1:
-            parts.append(f"{names_a[i]}|{names_b[j]}")
-        else:
-            parts.append(f"{','.join(names_a[i:x])}|{','.join(names_b[j:y])}")
-        i, j = x, y
-    bounds = [0, *groups.tolist()]
-    return valid, counts, [";".join(parts[x:y]).encode() for x, y in zip(bounds, bounds[1:])], pairs
+    return valid, counts, _group_texts(t, a, b, before[0, both] + 1, before[1, both] + 1, groups), pairs
+
+
+def _group_texts(t: Tokenizers, a: np.ndarray, b: np.ndarray, a_stops: np.ndarray, b_stops: np.ndarray, groups: np.ndarray) -> list[bytes]:
+    """The groups of each unit as text: a_stops and b_stops say where groups end among the ids, groups where units do."""
+    names = np.empty(len(a) + len(b), np.int64)
+    for ids, stops, others, first in ((a, a_stops, np.r_[0, b_stops[:-1]], 0), (b, b_stops, a_stops, len(t.a_bytes))):
+        at = 2 * (ids + first)
+        at[stops - 1] += 1
+        names[np.arange(len(ids)) + np.repeat(others, np.diff(stops, prepend=0))] = at
+    text = b"".join(map(t.names.__getitem__, names.tolist()))
+    bounds = np.r_[0, np.cumsum(t.widths[names])[(a_stops + b_stops)[groups - 1] - 1]].tolist()
+    return [text[i : j - 1] for i, j in zip(bounds, bounds[1:])]
 
 
 _DOC = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string())]
@@ -200,7 +235,7 @@ class _Block:
         self.number, self.places, self.ids, self.texts, self.bytes = number, _Places(), [], [], 0
 
     def add(self, doc_id: int | None, text: str | None) -> None:
-        parts = _UNITS.split(text) if text else []
+        parts = _split(text) if text else []
         self.ids.append(doc_id)
         self.texts.append(np.fromiter(map(self.places.__getitem__, parts), np.int32, len(parts)))
         self.bytes += len(text or "")

@@ -279,3 +279,24 @@ def test_alignment_encodes_little_at_once(monkeypatch):
     units = [f"word{i}" for i in range(20_000)]
     assert alignment.Aligned(Tokenizers.load(), units).valid.all()
     assert sum(sizes) == sum(map(len, units)) and max(sizes) < 60_000
+
+
+def test_alignment_encodes_units_in_runs(monkeypatch):
+    """Many units at a call, as one text with single spaces, and each unit's tokens as if it were alone."""
+    from shelfwise.llm import alignment
+
+    tokenizers = Tokenizers.load()
+    given = []
+    encode = tokenizers.encode_b
+    monkeypatch.setattr(tokenizers, "encode_b", lambda runs: (given.extend(runs), encode(runs))[1], raising=False)
+    units = [f"wörd{i}," for i in range(1000)]
+    alignment.Aligned(tokenizers, units)
+    assert given == [" ".join(units)]
+    odd = ["a", "\tb", "c\n", "d  e", "日本", "\x1c", "</s>", "f ", " g", "é", "0̈", "h", "̈i"]
+    together = alignment.Aligned(tokenizers, odd + ["▁", "j"])
+    alone = [alignment.Aligned(tokenizers, [u]) for u in odd + ["▁", "j"]]
+    assert together.texts == [t for a in alone for t in a.texts] and together.valid.tolist() == [bool(a.valid[0]) for a in alone]
+    assert together.counts.tolist() == [a.counts[0].tolist() for a in alone]
+    assert np.array_equal(together.pairs, np.concatenate([a.pairs for a in alone]))
+    texts = ["a b", " a", "a ", "a  b c", "x\ny z", "a \n b", "　 a b", "a  b"]
+    assert [alignment._split(t) for t in texts] == [alignment._UNITS.split(t) for t in texts]
