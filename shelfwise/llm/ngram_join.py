@@ -46,6 +46,8 @@ FULL = 255
 BLOCK = 1024
 #: Shingles of a block of one class's partners.
 BLOCK_SHINGLES = 1 << 21
+#: Lists of a class, by token, that its rows carry, so that a pair is found in the first list that both are in.
+FIRST_LISTS = 64
 #: Bytes of text that are taken apart at once.
 CHUNK = 400_000
 
@@ -204,11 +206,19 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _mixed_pairs(lists: DataFrame, classes: DataFrame, parts: DataFrame, percent: int, block: int, spanning: bool) -> DataFrame:
-    """(a, b) of different components that share a list and may be linked.
+    """(a, b) of different components that share a list and may be linked; each once."""
+    return _pairs_by_list(lists, classes, parts, percent, block, spanning).distinct()
+
+
+def _pairs_by_list(lists: DataFrame, classes: DataFrame, parts: DataFrame, percent: int, block: int, spanning: bool) -> DataFrame:
+    """(a, b) as the lists give them.
 
     parts: k and g, its component. A list's largest component isn't held against itself: its members meet
     the others only, block by block. spanning: only as many pairs as connect all of a pair of blocks.
+    Classes that share many lists are paired in the first of them. A row carries the first lists of its class
+    alone; a pair whose first list in common is a later one may come more than once, and none is lost.
     """
+    first = lists.groupBy("k").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRST_LISTS).alias("first"))
     known = lists.select("token", "k").join(parts, "k", "left").select("token", "k", F.coalesce("g", "k").alias("g"))
     sizes = known.groupBy("token", "g").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("n"), F.max(F.struct("n", "g")).alias("main")).filter("components > 1")
@@ -221,7 +231,7 @@ def _mixed_pairs(lists: DataFrame, classes: DataFrame, parts: DataFrame, percent
     # a block of the largest component meets those of the others, these meet all
     others = F.when(is_main, F.sequence(F.lit(0), F.col("few") - 1)).otherwise(F.sequence(F.lit(0), F.col("few") + F.col("many") - 1))
     placed = placed.withColumn("other", F.explode(others)).join(classes.select("k", "n", "cells"), "k")
-    placed = placed.select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "k", "g", "n", "cells")
+    placed = placed.join(first, "k").select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "k", "g", "n", "cells", "first")
 
     def task(batches):
         out = Rows(pa.schema([("a", pa.int64()), ("b", pa.int64())]))
@@ -229,9 +239,14 @@ def _mixed_pairs(lists: DataFrame, classes: DataFrame, parts: DataFrame, percent
             own, k, g, n = (group.column(i).to_numpy() for i in (3, 4, 5, 6))
             cells = np.frombuffer(b"".join(group.column(7).to_pylist()), np.uint8).reshape(len(k), -1)
             hi = group.column(2)[0].as_py()
-            left = np.flatnonzero(own != hi) if group.column(1)[0].as_py() != hi else np.arange(len(k))
+            alone = group.column(1)[0].as_py() == hi
+            left = np.arange(len(k)) if alone else np.flatnonzero(own != hi)
             right = np.flatnonzero(own == hi)
             x, y = _may_overlap(left, right, k, g, n, cells, percent)
+            if alone:  # a block held against itself has each pair twice
+                x, y = x[x < y], y[x < y]
+            here = ~_paired_before(x, y, group.column(8), group.column(0)[0].as_py())
+            x, y = x[here], y[here]
             if spanning and len(x):
                 _, number = np.unique(g, return_inverse=True)
                 edges = {}
@@ -245,7 +260,25 @@ def _mixed_pairs(lists: DataFrame, classes: DataFrame, parts: DataFrame, percent
         yield from out.take(1)
 
     keys = ["token", "lo", "hi"]
-    return placed.repartition(*map(F.col, keys)).sortWithinPartitions(*keys).mapInArrow(task, "a long, b long").distinct()
+    return placed.repartition(*map(F.col, keys)).sortWithinPartitions(*keys).mapInArrow(task, "a long, b long")
+
+
+def _paired_before(x: np.ndarray, y: np.ndarray, first: pa.ListArray, token: int, columns: int = 1024) -> np.ndarray:
+    """Whether both rows of an index pair are in a list before this one, as far as their first lists tell."""
+    found = np.zeros(len(x), bool)
+    rows, tokens = np.repeat(np.arange(len(first)), first.value_lengths().to_numpy(zero_copy_only=False)), first.flatten().to_numpy()
+    rows, tokens = rows[tokens < token], tokens[tokens < token]
+    _, number, several = np.unique(tokens, return_inverse=True, return_counts=True)
+    rows, number = rows[several[number] > 1], number[several[number] > 1]
+    _, number = np.unique(number, return_inverse=True)
+    for i in range(0, int(number.max(initial=-1)) + 1, columns):
+        here = (number >= i) & (number < i + columns)
+        known = np.zeros((len(first), columns), bool)
+        known[rows[here], number[here] - i] = True
+        known = np.packbits(known, axis=1)
+        for j in range(0, len(x), 20_000):
+            found[j : j + 20_000] |= (known[x[j : j + 20_000]] & known[y[j : j + 20_000]]).any(axis=1)
+    return found
 
 
 def _may_overlap(left, right, k, g, n, cells, percent: int, rows: int = 64) -> tuple[np.ndarray, np.ndarray]:

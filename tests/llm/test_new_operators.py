@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfwise.checks import run
@@ -300,3 +301,35 @@ def test_alignment_encodes_units_in_runs(monkeypatch):
     assert np.array_equal(together.pairs, np.concatenate([a.pairs for a in alone]))
     texts = ["a b", " a", "a ", "a  b c", "x\ny z", "a \n b", "　 a b", "a  b"]
     assert [alignment._split(t) for t in texts] == [alignment._UNITS.split(t) for t in texts]
+
+
+def test_classes_that_share_many_lists_are_paired_in_one(spark):
+    """Twelve lists hold nearly the same classes; each pair of different components comes once, none is lost."""
+    from shelfwise.llm import ngram_join
+
+    classes = spark.createDataFrame([(k, 100, bytes([1] * 256)) for k in range(24)], "k long, n long, cells binary")
+    members = {token: [k for k in range(24) if k != token] for token in range(12)}
+    lists = spark.createDataFrame([(t, k) for t, ks in members.items() for k in ks], "token long, k long")
+    parts = spark.createDataFrame([(k, k // 2) for k in range(24)], "k long, g long")
+    expected = {(a, b) for ks in members.values() for a in ks for b in ks if a < b and a // 2 != b // 2}
+    for block in (5, 1024):
+        found = [tuple(r) for r in ngram_join._pairs_by_list(lists, classes, parts, 85, block, False).collect()]
+        assert sorted(found) == sorted(expected)  # before, each came from ten lists or more
+        spanned = {tuple(r) for r in ngram_join._mixed_pairs(lists, classes, parts, 85, block, True).collect()}
+        assert spanned < expected
+
+
+def test_pairs_beyond_the_first_lists_are_found(spark, monkeypatch):
+    """A row carries few of its lists: pairs may come more than once then, and all of them come."""
+    from shelfwise.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "FIRST_LISTS", 1)
+    classes = spark.createDataFrame([(k, 100, bytes([1] * 256)) for k in range(6)], "k long, n long, cells binary")
+    lists = spark.createDataFrame([(0, 0), (0, 1), (1, 2), (1, 3), *((t, k) for t in (2, 3) for k in range(6))], "token long, k long")
+    parts = spark.createDataFrame([(k, k) for k in range(6)], "k long, g long")
+    found = [tuple(r) for r in ngram_join._pairs_by_list(lists, classes, parts, 85, 1024, False).collect()]
+    assert set(found) == {(a, b) for a in range(6) for b in range(a + 1, 6)}
+    first = pa.array([[5, 9], [5], [9, 12], None, [1, 12]], pa.list_(pa.int64()))
+    x, y = np.array([0, 0, 2, 0, 1]), np.array([1, 2, 4, 4, 3])
+    assert ngram_join._paired_before(x, y, first, 12, columns=1).tolist() == [True, True, False, False, False]
+    assert ngram_join._paired_before(x, y, first, 9).tolist() == [True, False, False, False, False]
