@@ -9,7 +9,8 @@ hash. The order is cut into fragments, and a text's set into its segments in the
    counts are summed: exactly the overlap.
 3. Pairs come in rounds, since only components are asked for. First every class with one class that many
    of its lists have in common. Then, in the lists that still hold several components, pairs of different
-   ones, as many as connect all that may be linked; last, if one of those was no link, all that are left.
+   ones, as many as connect all that may be linked, the most alike first; last, if one of those was no link,
+   all that are left.
    A pair is left out only where it can't be a link: by size, or because the sizes of the sets in
    ranges of hashes, taken range by range, don't allow the overlap.
 """
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.idsets import mark_possible
@@ -169,17 +170,21 @@ def _prefixes(documents: DataFrame, order, width: int, percent: int) -> DataFram
 
 
 def _lists(classes: DataFrame, percent: int) -> DataFrame:
-    """(token, s, k, copies): classes posted under the n-grams of their prefixes, where several are; s is the logarithm of the size.
+    """(token, k, s, copies): classes posted under the n-grams of their prefixes, where several of similar size are.
 
-    Texts that share a passage share many n-grams, whose lists are the same: of those with the same members, as 128
-    bits of them tell, one is kept, with their number.
+    s is the logarithm of the size. Few postings share their n-gram with one of a similar size: all are dealt by token
+    once, and only those go on. Texts that share a passage share many n-grams, whose lists are the same: of those with
+    the same members, as 128 bits of them tell, one is kept, with their number.
     """
     step = math.log(100 / percent)  # sets whose s differ by more than one can't be similar
     postings = classes.select("k", F.floor(F.log("n") / step).cast("int").alias("s"), F.explode("prefix").alias("token"))
+    by_size = Window.partitionBy("token").orderBy("s")
+    near = postings.select("token", "k", "s", F.lag("s").over(by_size).alias("before"), F.lead("s").over(by_size).alias("after"))
+    shared = materialize(near.filter("s - before <= 1 or after - s <= 1").select("token", "k", "s"), "shared")
     digests = [F.bit_xor(F.xxhash64(F.lit(i), "k")).alias(f"digest_{i}") for i in range(2)]
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members"), *digests).filter("members > 1")
-    kept = shared.groupBy("members", "digest_0", "digest_1").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("copies"))
-    return postings.join(kept.select("token", "copies"), "token")
+    found = shared.groupBy("token").agg(F.count(F.lit(1)).alias("members"), *digests)
+    kept = found.groupBy("members", "digest_0", "digest_1").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("copies"))
+    return shared.join(kept.select("token", "copies"), "token")
 
 
 def _stars(lists: DataFrame) -> DataFrame:
@@ -214,11 +219,11 @@ def _pairs_by_list(lists: DataFrame, classes: DataFrame, parts: DataFrame, perce
     """(a, b) as the lists give them.
 
     parts: k and g, its component. A list's largest component isn't held against itself: its members meet
-    the others only, block by block. spanning: only as many pairs as connect all of a pair of blocks.
+    the others only, block by block. spanning: only as many pairs as connect all of a pair of blocks, those
+    first whose sizes by range allow the largest overlap, as they are the likeliest links and spare later pairs.
     Classes that share many lists are paired in the first of them. A row carries the first lists of its class
     alone; a pair whose first list in common is a later one may come more than once, and none is lost.
     """
-    first = lists.groupBy("k").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRST_LISTS).alias("first"))
     known = lists.select("token", "k").join(parts, "k", "left").select("token", "k", F.coalesce("g", "k").alias("g"))
     sizes = known.groupBy("token", "g").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("n"), F.max(F.struct("n", "g")).alias("main")).filter("components > 1")
@@ -227,6 +232,8 @@ def _pairs_by_list(lists: DataFrame, classes: DataFrame, parts: DataFrame, perce
     )
     is_main = F.col("g") == F.col("main")
     own = F.when(is_main, F.col("few") + F.pmod(F.xxhash64("k"), F.col("many"))).otherwise(F.pmod(F.xxhash64("k"), F.col("few"))).cast("int")
+    # lists of one component give no pairs, so a class need not carry them
+    first = known.join(mixed.select("token"), "token").groupBy("k").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRST_LISTS).alias("first"))
     placed = known.join(mixed, "token").withColumn("own", own)
     # a block of the largest component meets those of the others, these meet all
     others = F.when(is_main, F.sequence(F.lit(0), F.col("few") - 1)).otherwise(F.sequence(F.lit(0), F.col("few") + F.col("many") - 1))
@@ -248,6 +255,8 @@ def _pairs_by_list(lists: DataFrame, classes: DataFrame, parts: DataFrame, perce
             here = ~_paired_before(x, y, group.column(8), group.column(0)[0].as_py())
             x, y = x[here], y[here]
             if spanning and len(x):
+                order = np.argsort(-_most(x, y, n, cells), kind="stable")
+                x, y = x[order], y[order]
                 _, number = np.unique(g, return_inverse=True)
                 edges = {}
                 for i, j, p, q in zip(number[x].tolist(), number[y].tolist(), x.tolist(), y.tolist()):
@@ -263,10 +272,19 @@ def _pairs_by_list(lists: DataFrame, classes: DataFrame, parts: DataFrame, perce
     return placed.repartition(*map(F.col, keys)).sortWithinPartitions(*keys).mapInArrow(task, "a long, b long")
 
 
+def _most(x: np.ndarray, y: np.ndarray, n: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """For index pairs the largest overlap that the sizes by range allow, as a share of both sizes."""
+    most = np.zeros(len(x))
+    for j in range(0, len(x), 20_000):
+        a, b = x[j : j + 20_000], y[j : j + 20_000]
+        most[j : j + 20_000] = np.minimum(cells[a], cells[b]).sum(axis=1, dtype=np.int64) / (n[a] + n[b])
+    return most
+
+
 def _paired_before(x: np.ndarray, y: np.ndarray, first: pa.ListArray, token: int, columns: int = 1024) -> np.ndarray:
     """Whether both rows of an index pair are in a list before this one, as far as their first lists tell."""
     found = np.zeros(len(x), bool)
-    rows, tokens = np.repeat(np.arange(len(first)), first.value_lengths().to_numpy(zero_copy_only=False)), first.flatten().to_numpy()
+    rows, tokens = np.repeat(np.arange(len(first)), first.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)), first.flatten().to_numpy()
     rows, tokens = rows[tokens < token], tokens[tokens < token]
     _, number, several = np.unique(tokens, return_inverse=True, return_counts=True)
     rows, number = rows[several[number] > 1], number[several[number] > 1]

@@ -333,3 +333,24 @@ def test_pairs_beyond_the_first_lists_are_found(spark, monkeypatch):
     x, y = np.array([0, 0, 2, 0, 1]), np.array([1, 2, 4, 4, 3])
     assert ngram_join._paired_before(x, y, first, 12, columns=1).tolist() == [True, True, False, False, False]
     assert ngram_join._paired_before(x, y, first, 9).tolist() == [True, False, False, False, False]
+
+
+def test_lists_hold_classes_of_similar_size(spark):
+    """A class alone with its size in a list can't be linked there; its posting goes no further."""
+    from shelfwise.llm import ngram_join
+
+    rows = [(1, 100, [7, 8]), (2, 110, [7, 8]), (3, 900, [7, 9]), (4, 20, [8, 9]), (5, 21, [9])]
+    classes = spark.createDataFrame(rows, "k long, n long, prefix array<long>")
+    found = {(r.token, r.k, r.copies) for r in ngram_join._lists(classes, 85).collect()}
+    assert found == {(7, 1, 2), (7, 2, 2), (9, 4, 1), (9, 5, 1)}  # before, 3 and 4 were posted with those of other sizes
+
+
+def test_the_most_alike_connect_components(spark):
+    """Of the pairs that would connect two components, that of the largest possible overlap is tried."""
+    from shelfwise.llm import ngram_join
+
+    cells = {0: [1] * 240 + [0] * 16, 1: [1] * 256, 2: [0] * 10 + [1] * 246, 3: [1] * 255 + [0]}
+    classes = spark.createDataFrame([(k, sum(c), bytes(c)) for k, c in cells.items()], "k long, n long, cells binary")
+    lists = spark.createDataFrame([(5, k) for k in cells], "token long, k long")
+    parts = spark.createDataFrame([(0, 0), (1, 0), (2, 2), (3, 2)], "k long, g long")
+    assert [tuple(r) for r in ngram_join._mixed_pairs(lists, classes, parts, 85, 1024, True).collect()] == [(1, 3)]  # before, (0, 2)
