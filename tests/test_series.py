@@ -7,6 +7,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from shelfwise import jobs
+from shelfwise.checks import queries
 from shelfwise.functions.calendar import latest_day
 from shelfwise.operators import demand, joins, series
 from shelfwise.plans import forecasting
@@ -128,6 +129,19 @@ def test_models(spark, history):
     assert again.metrics["random_forest"] == trained.metrics["random_forest"]
 
 
+def test_a_model_that_fails_is_no_result(spark, history, monkeypatch):
+    """The queries that fit models raise where one of them fails, whatever the others say."""
+    table = series.sales_features(series.daily_series(history))
+    line = lambda label: forecasting.LinearRegression(labelCol=label)
+    makers = {"random_forest": line, "gradient_boosted": line, "linear_regression": lambda label: line("no such column")}
+    with pytest.raises(forecasting.FitError, match="linear_regression: .*no such column"):
+        forecasting.train_models(table, table, feature_columns=["price"], estimators=makers, strict=True)
+    monkeypatch.setattr(forecasting, "ESTIMATORS", makers)
+    monkeypatch.setattr(queries, "_daily", lambda spark, root: series.daily_series(history))
+    with pytest.raises(forecasting.FitError, match="linear_regression"):
+        queries.model_metrics(spark, "")
+
+
 def test_forecast_job(spark, history, tmp_path):
     history.write.parquet(str(tmp_path / "refined"))
     trained = jobs.run_forecast(spark, str(tmp_path / "refined"), str(tmp_path / "out"), days=2)
