@@ -103,8 +103,10 @@ def _candidate_links(classes: DataFrame, coordinates: int, needed: int, block: i
         (F.shiftleft(F.col("pos").cast("long"), 32) + F.col("col").cast("long").bitwiseAND(0xFFFFFFFF)).alias("item"), "c"
     )
     shared = postings.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Spark takes an exploded table for as large as the one before, and an array for one element: it would broadcast
+    # the postings. So these joins are merge joins, whatever the sizes look like.
     rarest = (
-        postings.join(shared, "item")
+        postings.join(shared.hint("merge"), "item")
         .groupBy("c")
         .agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("items"))
         # values of one class alone come first in the prefix, and lead nowhere
@@ -112,7 +114,7 @@ def _candidate_links(classes: DataFrame, coordinates: int, needed: int, block: i
         .filter("size(items) > 0")
     )
     posted = (
-        rarest.join(classes.select("c", "signature"), "c")
+        rarest.join(classes.select("c", "signature").hint("merge"), "c")
         .select("c", "signature", F.explode("items").alias("i"))
         .select("c", "signature", F.col("i.item").alias("item"), F.ceil(F.col("i.n") / block).cast("long").alias("blocks"))
         .withColumn("own", F.pmod(F.xxhash64("c"), "blocks"))
@@ -258,7 +260,7 @@ def _exact_links(documents: DataFrame, members: DataFrame, percent: int, width:
     # an id may have several texts, and a text several rows: one text for each set of an id
     text = text.mapInArrow(with_key, "c long, set_key binary, text string").groupBy("c", "set_key").agg(F.min("text").alias("text"))
     return (
-        placed.join(text, ["c", "set_key"])
+        placed.join(text.hint("merge"), ["c", "set_key"])  # the blocks that a member meets, and texts, are larger than Spark takes them for
         .select("c", "g", "meets", "text")
         .mapInArrow(to_sets, "g long, s int, up int, x int, y int, c long, elements binary")
         .repartition(*map(F.col, keys))

@@ -250,9 +250,11 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, hot: int = HOT_PI
     keyed = _keyed(documents)
     hashes = _piece_hashes(keyed, length)
     often = hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    listed = hashes.join(often, "h").groupBy("_a", "_b").agg(F.collect_set(F.struct("h", "n")).alias("x"))
+    # many pieces come from a row, and lists are stored as small files: Spark takes these tables for smaller than they are
+    # and would broadcast them, so they meet in merge joins
+    listed = hashes.join(often.hint("merge"), "h").groupBy("_a", "_b").agg(F.collect_set(F.struct("h", "n")).alias("x"))
     listed = materialize(listed.select("_a", "_b", F.col("x.h").alias("hs"), F.col("x.n").alias("ns")), "repeated-hashes")
-    texts = _only(keyed, listed).join(listed, ["_a", "_b"]).select("_a", "_b", "_text", "hs", "ns")
+    texts = _only(keyed, listed).join(listed.hint("merge"), ["_a", "_b"]).select("_a", "_b", "_text", "hs", "ns")
     cut = materialize(_cut_pieces(texts, length, hot), "pieces")
 
     def moved(at):
@@ -261,7 +263,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, hot: int = HOT_PI
     found = _sorted_spans(cut.filter("piece is not null").select("h", "p", "q", "n", "piece"), length, sort_bytes)
     return (
         cut.select("p", "q", "_a", "_b", "at")
-        .join(found, ["p", "q"])
+        .join(found.hint("merge"), ["p", "q"])
         .select("_a", "_b", F.flatten(F.transform("at", moved)).alias("x"))
         .groupBy("_a", "_b")
         .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("x")))).alias("spans"))
@@ -283,7 +285,7 @@ def with_spans(documents: DataFrame, length: int = LENGTH, hot: int = HOT_PIECES
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.withColumns({"_a": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), "_b": F.xxhash64(text)})
     marked = mark_possible(_key(rows), "_k", _key(found).select("_k")).drop("_k")
-    moved = marked.filter("possible").join(found, ["_a", "_b"], "left").drop("possible", "_a", "_b")
+    moved = marked.filter("possible").join(found.hint("merge"), ["_a", "_b"], "left").drop("possible", "_a", "_b")
     none = F.lit(None).cast("array<int>")
     still = marked.filter("not possible").drop("possible", "_a", "_b").withColumns({"_froms": none, "_tos": none})
     return still.union(moved)

@@ -7,13 +7,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from conftest import plan
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.idsets import without_ids
-from shelfwise.llm.near_dedup import _exact_links, matches_needed, near_duplicates, signatures
+from shelfwise.llm.near_dedup import _candidate_links, _exact_links, matches_needed, near_duplicates, signatures
 from shelfwise.llm.nearest import nearest
-from shelfwise.llm.repeats import repeat_report, repeated_windows, without_repeats
+from shelfwise.llm.repeats import repeat_report, repeated_spans, repeated_windows, without_repeats
 from shelfwise.llm.suffixes import adjacent_prefixes, eight_bytes, two_stage_order
 from shelfwise.llm.texts import prefix_hashes, span_hashes
 
@@ -97,6 +98,22 @@ def test_blocks_of_short_texts_are_bounded_by_members(spark):
     assert len(found) == 300 and {r.component_id for r in found} == {0}
 
 
+def test_exploded_tables_are_not_broadcast(spark, tmp_path):
+    """Spark takes postings for as large as their classes: it would send them all to the driver."""
+    rows = spark.range(50).select(
+        F.col("id").alias("c"), F.col("id").cast("string").cast("binary").alias("set_key"), F.lit(9).cast("long").alias("n_shingles"), F.lit(0).cast("long").alias("g"),
+        F.transform(F.sequence(F.lit(0), F.lit(47)), lambda k: (k * 64 + F.col("id") % 8).cast("int")).alias("signature"),
+    )
+    rows.write.parquet(str(tmp_path / "classes"))
+    classes = spark.read.parquet(str(tmp_path / "classes"))
+    links = plan(_candidate_links(classes, 48, 29, 8))
+    assert "Broadcast" not in links and links.count("SortMergeJoin") == 2
+    texts = frame(spark, [(i, f"{i} a b c d e f") for i in range(50)])
+    exact = plan(_exact_links(texts, classes.drop("signature"), 80, 5, 100, 10))
+    assert re.search(r"SortMergeJoin \[c#\d+L, set_key#\d+\]", exact)
+    assert "BroadcastHashJoin" not in plan(repeated_spans(texts, 20))
+
+
 def test_all_texts_of_one_id_are_linked(spark):
     a, b, d, long = (words(s, n) for s, n in ((21, 40), (22, 40), (23, 40), (24, 400)))
     near = lambda text, k: " ".join([*text[:-1], f"end{k}"])
