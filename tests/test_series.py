@@ -194,6 +194,25 @@ def test_forecast_accuracy_matches_on_three_keys(history):
     assert (row.n, row.rmse, row.mae) == (60, 1.0, 1.0)
 
 
+def test_only_forecasts_that_may_have_an_actual_are_dealt_out(spark):
+    """Of 400 forecasts those with an actual go on, none is lost, and equal, odd and null keys are as in a plain join."""
+    forecasts = spark.range(400).select(
+        F.date_add(F.lit(START), (F.col("id") % 20).cast("int")).alias("date"), F.concat(F.lit("p"), F.col("id") % 200).alias("product_id"),
+        F.when(F.col("id") % 7 > 0, "x").alias("county"), F.col("id").cast("double").alias("forecast_quantity"),
+    )
+    actuals = forecasts.filter("forecast_quantity in (1, 2, 7, 201)").select("date", "product_id", "county", (F.col("forecast_quantity") + 1).alias("quantity"))
+    by = ["date", "product_id", "county"]
+    left = joins.may_match(forecasts, actuals, by)
+    assert left.columns == forecasts.columns and sorted(r[3] for r in left.collect()) == [1, 2, 7, 201, 202]
+    assert joins.may_match(forecasts, actuals, by, bits=64).count() < 400 == joins.may_match(forecasts, forecasts, by, bits=64).count()
+    assert joins.may_match(forecasts, actuals.limit(0), by).count() == 0
+    assert rows(joins.match_on(left, actuals, by)) == rows(joins.match_on(forecasts, actuals, by))
+    assert "_marks" in plan(forecasting.forecast_accuracy(actuals, forecasts))
+    row = forecasting.forecast_accuracy(actuals, forecasts).first()
+    plain = forecasting.forecast_accuracy(actuals.withColumn("date", F.col("date").cast("timestamp")), forecasts).first()
+    assert (row.n, row.mae) == (plain.n, plain.mae)
+
+
 def test_trend_of_a_line_is_the_line(spark):
     days = spark.range(30).select(
         F.lit("x").alias("county"), F.date_add(F.lit(START), F.col("id").cast("int")).alias("date"),
