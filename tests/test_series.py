@@ -174,6 +174,16 @@ def test_a_fit_does_not_depend_on_how_its_input_is_split(history):
         assert few.metrics[name] == pytest.approx(many.metrics[name], rel=1e-9)
 
 
+def test_a_forest_that_keeps_node_ids_is_the_same(history):
+    table = series.sales_features(series.daily_series(history))
+    kept = forecasting.ESTIMATORS["random_forest"]("quantity")
+    assert kept.getCacheNodeIds()
+    makers = {"kept": lambda label: kept.copy(), "descended": lambda label: kept.copy().setCacheNodeIds(False)}
+    trained = forecasting.train_models(table, table, estimators=makers, strict=True)
+    trees = [trained.models[name].stages[-1].toDebugString.split("\n", 1)[1] for name in makers]
+    assert trees[0] == trees[1]
+
+
 def test_untrained(history):
     with pytest.raises(ValueError):
         forecasting.forecast(forecasting.TrainedModels(), series.daily_series(history))
